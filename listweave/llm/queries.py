@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listweave.llm.common import read_table
+from listweave.llm.common import held_out, read_table
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,9 +17,41 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from listweave.llm.gbt import fit_quality, quality_rules
+
+    docs = read_table(spark, sf_dir, "documents")
+    return quality_rules(docs, fit_quality(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from listweave.llm.ridge import fit_ridge, quality_scores
+
+    docs = read_table(spark, sf_dir, "documents")
+    scored = quality_scores(docs, fit_ridge(docs, read_table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from listweave.llm.langid import fit_languages, languages_of
+
+    docs = read_table(spark, sf_dir, "documents")
+    found = languages_of(docs, fit_languages(docs), keep=["doc_id"])
+    return found.select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        F.col("_lang").alias("lang_pred"),
+        F.col("_score").alias("score"),
+        F.col("_rejected").alias("rejected"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_rules": op1_quality_rules,
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
+        "op6_quality_classifier": op6_quality_classifier,
+        "op7_language_id": op7_language_id,
     }
 
 
