@@ -14,6 +14,14 @@ from listweave.shipping import ship
 
 #: Bytes of text that a Python worker holds in numpy arrays at a time; a longer text is held alone.
 SLICE_BYTES = 4_000_000
+#: Bytes of an Arrow batch between the JVM and a Python worker; a longer row travels alone.
+BATCH_BYTES = 4 << 20
+
+
+def arrow_limits(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, not only by rows, and send the package to the executors."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    ship(spark)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -78,14 +86,14 @@ def map_rows(df: DataFrame, schema: str, f: Callable[[pa.RecordBatch], dict]) ->
             if not batch.num_rows:
                 continue
             per_row = max(1, batch.nbytes // batch.num_rows)
-            step = max(1, 4 * SLICE_BYTES // per_row)
+            step = max(1, SLICE_BYTES // per_row)
             for start in range(0, batch.num_rows, step):
                 columns = f(batch.slice(start, step))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[x.name], type=x.type) for x in arrow], schema=arrow
                 )
 
-    ship(df.sparkSession)
+    arrow_limits(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

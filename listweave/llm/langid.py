@@ -19,8 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from listweave.llm.common import held_out, map_rows, slices
-from listweave.shipping import ship
+from listweave.llm.common import arrow_limits, held_out, map_rows, slices
 
 ORDER = 4
 #: Rows of each language that a model is fitted on, at most, and the longest text among them.
@@ -218,7 +217,7 @@ def fit_languages(docs: DataFrame, rows: int = FIT_ROWS, chars: int = FIT_CHARS)
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"lang": [frame.lang.iloc[0]], "model": [pickle.dumps(_fit_group(frame, vocabulary))]})
 
-    ship(spark)
+    arrow_limits(spark)
     sample = usable.join(F.broadcast(ids), ["doc_id", "lang"])  # ids: ``rows`` longs a language at most
     got = sample.groupBy("lang").applyInPandas(fit, "lang string, model binary").collect()
     got.sort(key=lambda r: r.lang)

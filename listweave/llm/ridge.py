@@ -16,10 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listweave.llm.common import map_rows, text_bytes, written
+from listweave.llm.common import arrow_limits, map_rows, text_bytes, written
 from listweave.llm.sample import labelled_sample
 from listweave.llm.stats import FEATURES, document_stats
-from listweave.shipping import ship
 
 #: Labelled rows that the classifier is fitted on, at most.
 FIT_ROWS = 10_000
@@ -112,7 +111,7 @@ def fit_ridge(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, parts: i
                 names=["i", "row"],
             )
 
-    ship(spark)
+    arrow_limits(spark)
     fold = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(4))
     part = seen.where(fold != 0).select("label", "x").repartition(parts).mapInArrow(normal, "i int, row array<double>")
     sums = part.groupBy("i").agg(*[F.sum(F.col("row")[j]).alias(f"c{j}") for j in range(size + 1)]).toPandas().sort_values("i")
