@@ -46,12 +46,26 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from listweave.llm.repeats import cut_repeats
+
+    cut = cut_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id",
+        F.col("_n_bytes").alias("n_bytes"),
+        F.col("_n_removed").alias("n_removed"),
+        F.size("_spans").cast("long").alias("n_spans"),
+        F.sha2("_kept", 256).alias("kept_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
         "op6_quality_classifier": op6_quality_classifier,
         "op7_language_id": op7_language_id,
+        "op8_suffix_array_dedup": op8_suffix_array_dedup,
     }
 
 
