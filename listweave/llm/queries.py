@@ -59,6 +59,15 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from listweave.llm.bpe import encode_documents
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return encode_documents(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -66,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality_classifier": op6_quality_classifier,
         "op7_language_id": op7_language_id,
         "op8_suffix_array_dedup": op8_suffix_array_dedup,
+        "op10_byte_bpe": op10_byte_bpe,
     }
 
 
