@@ -68,6 +68,49 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op4_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from listweave.llm.warc import round_trip
+
+    return round_trip(read_table(spark, sf_dir, "pages")).drop("payload", "url")
+
+
+OP4_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+), d AS (
+  SELECT *, max(page_id) OVER (PARTITION BY hex) AS keeper FROM p
+)
+SELECT page_id,
+       CAST(strlen(html) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + CAST((CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS INTEGER), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)), '') AS payload_digest,
+       CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = keeper THEN NULL ELSE keeper END AS refers_to
+FROM d
+"""
+
+
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from listweave.llm.topk import sparse_rows, top_k
+
+    rows = sparse_rows(read_table(spark, sf_dir, "embeddings"))
+    return top_k(rows, rows.where("vec_id % 20 = 0"), 20)
+
+
+OP5_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.w, c.w) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -76,8 +119,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_language_id": op7_language_id,
         "op8_suffix_array_dedup": op8_suffix_array_dedup,
         "op10_byte_bpe": op10_byte_bpe,
+        "op4_warc_zstd": op4_warc_zstd,
+        "op5_exact_top_k": op5_exact_top_k,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_warc_zstd": OP4_SQL,
+        "op5_exact_top_k": OP5_SQL,
+    }
