@@ -10,6 +10,50 @@ from pyspark.sql import functions as F
 from listweave.llm.common import held_out, read_table
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from listweave.llm.mixing import mix_corpus
+
+    return mix_corpus(read_table(spark, sf_dir, "documents"))
+
+
+def op2_sql() -> str:
+    """The mix in SQL: shares level by level, then each leaf's prefix in md5 order."""
+    from listweave.llm.mixing import BYTES_A_TOKEN, CORPUS_MIX, DOMAINS
+
+    m = CORPUS_MIX
+    cases = " ".join(f"WHEN source IN ({', '.join(repr(f'src{i}') for i in r)}) THEN '{d}'" for d, r in DOMAINS.items())
+    parts = [
+        f"""docs AS (SELECT CAST(doc_id AS BIGINT) AS doc_id, CASE {cases} ELSE 'other' END AS domain, coalesce(lang, 'unknown') AS lang,
+          coalesce(source, 'unknown') AS source, CAST((coalesce(strlen(text), 0) + {BYTES_A_TOKEN - 1}) // {BYTES_A_TOKEN} AS BIGINT) AS tokens FROM documents)""",
+        "leaves AS (SELECT domain, lang, source, CAST(sum(tokens) AS HUGEINT) AS tokens FROM docs GROUP BY ALL)",
+        f"g0 AS (SELECT coalesce(sum(tokens), 0) * {m.share[0]} // {m.share[1]} AS got FROM leaves)",
+    ]
+    for depth in range(1, 4):
+        path, up = ", ".join(m.levels[:depth]), m.levels[: depth - 1]
+        level = m.levels[depth - 1]
+        known = m.weights.get(level, {})
+        weight = f"CASE {level} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in known.items()) + f" ELSE {m.default} END" if known else str(m.default)
+        by = "PARTITION BY " + ", ".join(up) if up else ""
+        line = f"({by} ORDER BY CAST(capacity AS DOUBLE) / CAST(weight AS DOUBLE), {level} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        using = f"JOIN g{depth - 1} USING ({', '.join(up)})" if up else f"CROSS JOIN g{depth - 1}"
+        parts += [
+            f"c{depth} AS (SELECT {path}, CAST(sum(tokens) AS HUGEINT) * {m.epochs} AS capacity, CAST({weight} AS HUGEINT) AS weight FROM leaves GROUP BY {path})",
+            f"""f{depth} AS (SELECT *, capacity * (sum(weight) OVER ({by}) - coalesce(sum(weight) OVER {line}, 0))
+                <= (got - coalesce(sum(capacity) OVER {line}, 0)) * weight AS is_full FROM c{depth} {using})""",
+            f"""g{depth} AS (SELECT {path}, CASE WHEN is_full THEN capacity ELSE least(capacity,
+                (got - coalesce(sum(capacity) FILTER (is_full) OVER ({by}), 0)) * weight // nullif(coalesce(sum(weight) FILTER (NOT is_full) OVER ({by}), 0), 0)) END AS got FROM f{depth})""",
+        ]
+    parts.append(
+        f"""drawn AS (SELECT d.*, coalesce(g.got // nullif(l.tokens, 0), 0) AS whole, coalesce(g.got % nullif(l.tokens, 0), 0) AS rest,
+          md5(concat({m.seed}, ':', coalesce(g.got // nullif(l.tokens, 0), 0), ':', coalesce(CAST(doc_id AS VARCHAR), 'null'))) AS place
+          FROM docs d JOIN leaves l USING (domain, lang, source) JOIN g3 g USING (domain, lang, source))"""
+    )
+    return "WITH " + ",\n".join(parts) + """
+SELECT doc_id, domain, lang, source, tokens,
+       CAST(whole + CASE WHEN sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY place, doc_id ROWS UNBOUNDED PRECEDING) <= rest THEN 1 ELSE 0 END AS BIGINT) AS epochs
+FROM drawn"""
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from listweave.llm.simhash import near_duplicates
 
@@ -114,6 +158,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op2_mixing": op2_mixing,
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
         "op6_quality_classifier": op6_quality_classifier,
         "op7_language_id": op7_language_id,
@@ -126,6 +171,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_mixing": op2_sql(),
         "op4_warc_zstd": OP4_SQL,
         "op5_exact_top_k": OP5_SQL,
     }
