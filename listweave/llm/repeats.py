@@ -31,12 +31,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listweave.llm.common import arrow_limits, written
+from listweave.llm.common import arrow_limits, slices, text_bytes, written
 
 #: Bytes of a repeated substring and of the rolling hash.
 LENGTH, GRAM = 50, 16
 #: Windows that are hashed at a time, so that the arrays stay in the cache.
 STEP = 1 << 18
+#: Bytes of a block before compression; small enough that its blob is no large object for the JVM.
+BLOCK_BYTES = 1_000_000
 #: What a bucket holds: trigger hashes, and bytes of dictionary.
 BUCKET_HASHES, BUCKET_BYTES = 1_000_000, 4_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -269,12 +271,13 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", len
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
         for batch in batches:
-            if batch.num_rows:
+            sizes = [len(x) for x in text_bytes(batch, "t")]
+            for a, b in slices(sizes, BLOCK_BYTES):
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, batch.schema, options=options) as out:
-                    out.write_batch(batch)
+                    out.write_batch(batch.slice(a, b - a))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([batch.nbytes], pa.int64())], names=["data", "n_bytes"]
+                    [pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([sum(sizes[a:b])], pa.int64())], names=["data", "n_bytes"]
                 )
 
     given = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.col(text).alias("t"), F.col(doc_id).cast("long").alias("i"))
@@ -283,7 +286,7 @@ def cut_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", len
         given.mapInArrow(pack, "data binary, n_bytes long").select(F.monotonically_increasing_id().alias("block"), "data", "n_bytes"), "repeats-blocks"
     )
     total = blocks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n")).first().n
-    least = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(least, -(-total * 2 // (length - gram + 1) // BUCKET_HASHES))
 
     def send_triggers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
