@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import html
+import math
 import re
 import zlib
 from dataclasses import dataclass
@@ -43,6 +44,8 @@ SCOPES = frozenset("ul ol dl table nav aside article section main div body heade
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
+_BYTE_HASH = np.random.default_rng(3).integers(0, 1 << 32, 256, dtype=np.uint32)
+_BYTE_HASH[32] = 0
 _HIDDEN = re.compile(r"(?:^|\s)(?:hidden|aria-hidden\s*=\s*[\"']?true)", re.I)
 
 
@@ -170,18 +173,35 @@ def describe(blocks: list[Leaf]) -> np.ndarray:
     out = np.zeros((len(blocks), PATH_DIMS + WORD_DIMS + MEASURES), np.float32)
     for row, b in zip(out, blocks, strict=True):
         row[:PATH_DIMS] = _path_vector(b.path)
-        words = b.text.split()
-        slots = [_slot(w, WORD_DIMS) for w in (words if len(words) < 64 else set(words))]
-        np.add.at(row, [PATH_DIMS + i for i, _ in slots], [s for _, s in slots])
-        part = row[PATH_DIMS : PATH_DIMS + WORD_DIMS]
-        part /= max(1.0, float(np.sqrt((part * part).sum())))
+        words = b.text.count(" ") + 1
         stops = b.text.count(".") + b.text.count(",")
-        row[-MEASURES:] = (np.log1p(len(b.text)) / 5, b.link, stops / (len(words) + 1), len(words) < 4, len(b.path) / 8, b.text[-1] in ".!?")
+        row[-MEASURES:] = (math.log1p(len(b.text)) / 5, b.link, stops / (words + 1), words < 4, len(b.path) / 8, b.text[-1] in ".!?")
+    out[:, PATH_DIMS : PATH_DIMS + WORD_DIMS] = word_vectors([b.text for b in blocks])
     return out
 
 
+def word_vectors(texts: list[str]) -> np.ndarray:
+    """Unit vector of each text: its words hashed into signed dimensions, all texts at once.
+
+    A word's hash sums random numbers of its bytes, so it costs a table lookup a byte.
+    """
+    out = np.zeros((len(texts), WORD_DIMS), np.float32)
+    data = np.frombuffer(" ".join(texts).encode("utf-8", "surrogatepass") + b" ", np.uint8)
+    if not texts:
+        return out
+    starts = np.flatnonzero(np.concatenate([[True], data[:-1] == 32]))
+    h = np.add.reduceat(_BYTE_HASH[data], starts, dtype=np.uint32)
+    h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+    per = np.array([t.count(" ") + 1 for t in texts])
+    text = np.repeat(np.arange(len(texts)), per)
+    sign = np.where(h & np.uint32(1 << 20), 1.0, -1.0)
+    flat = np.bincount(text * WORD_DIMS + (h >> np.uint32(8)) % WORD_DIMS, sign, len(texts) * WORD_DIMS)
+    out[:] = flat.reshape(len(texts), WORD_DIMS)
+    return out / np.maximum(1, np.sqrt((out * out).sum(1, keepdims=True)))
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return np.float32(0.5) * (np.tanh(np.float32(0.5) * x) + np.float32(1))
 
 
 class Network:
@@ -203,7 +223,7 @@ class Network:
     def _run(self, x: np.ndarray, mask: np.ndarray, d: str, keep: list | None) -> np.ndarray:
         """States of one direction; x (steps, pages, dims), mask (steps, pages)."""
         u, steps = self.units, len(x)
-        z_in = x @ self.p["x" + d] + self.p["c" + d]
+        z_in = (x.reshape(-1, x.shape[2]) @ self.p["x" + d] + self.p["c" + d]).reshape(steps, x.shape[1], 4 * u)
         h = np.zeros((x.shape[1], u), np.float32)
         c = h.copy()
         out = np.zeros((steps, x.shape[1], u), np.float32)
@@ -217,8 +237,10 @@ class Network:
             tc = np.tanh(new_c)
             if keep is not None:
                 keep.append((t, h, c, i, f, o, g, tc, m))
-            c = np.where(m, new_c, c)
-            h = np.where(m, o * tc, h)
+            if m.all():
+                c, h = new_c, o * tc
+            else:
+                c, h = np.where(m, new_c, c), np.where(m, o * tc, h)
             out[t] = h
         return out
 
@@ -360,7 +382,7 @@ class PageMaker:
         for _ in range(int(self.rng.integers(1, 14))):
             r = self.rng.random()
             if r < 0.66:
-                body = self.prose(int(self.rng.integers(1, 7)))
+                body = self.prose(int(self.rng.integers(1, 7))) if self.chance(0.75) else self.words(1, 3).capitalize() + self.pick(".", "")
                 out.append((self.pick(f"<p>{body}</p>", f"<p>{body}</p>", f"<p>{body}", f"<p><b>{self.words(1, 5)}<br><p>{body}</p>", f"<p>{body} {self.link(self.words(1, 3))} {body}</p>"), True))
             elif r < 0.74:
                 out.append((f"<h2>{self.words(1, 6)}</h2>", True))
@@ -403,7 +425,7 @@ def training_page(maker: PageMaker) -> tuple[np.ndarray, np.ndarray]:
     blocks = leaves(marked)
     truth = np.array([_MARK in b.text for b in blocks])
     for b in blocks:
-        b.text = b.text.replace(_MARK, "").strip() or "x"
+        b.text = " ".join(b.text.replace(_MARK, "").split()) or "x"
     return describe(blocks), truth
 
 

@@ -155,9 +155,11 @@ def mixed_documents(docs: DataFrame, mix: Mix) -> DataFrame:
     renamed = Mix(("_l0", "_l1", "_l2"), {f"_l{i}": mix.weights.get(k, {}) for i, k in enumerate(mix.levels)}, mix.default, mix.share, mix.epochs, mix.seed, mix.slice_digits)
     small = leaves.select("doc_id", "_l0", "_l1", "_l2", "_tokens")
     taken = mixture(small, renamed, "doc_id", "_tokens").where("_epochs > 0")
-    taken = taken.select(F.col("doc_id").alias("_id"), "_l0", "_l1", "_l2", "_epochs").distinct()
-    cond = leaves["doc_id"].eqNullSafe(taken["_id"]) & (leaves["_l0"] == taken["_l0"]) & (leaves["_l1"] == taken["_l1"]) & (leaves["_l2"] == taken["_l2"])
-    joined = leaves.join(taken.select("_id", "_l0", "_l1", "_l2", "_epochs"), cond)
+    taken = taken.select(F.col("doc_id").alias("_id"), *[F.col(f"_l{i}").alias(f"_t{i}") for i in range(3)], "_epochs").distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    for i in range(3):
+        same = same & (F.col(f"_l{i}") == F.col(f"_t{i}"))
+    joined = leaves.join(taken, same)
     if mix.epochs > 1:
         joined = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_epochs"))))
     return joined.select(*names)

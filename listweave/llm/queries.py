@@ -103,6 +103,12 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from listweave.llm.htmltext import extract
+
+    return extract(read_table(spark, sf_dir, "pages"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -163,6 +169,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality_classifier": op6_quality_classifier,
         "op7_language_id": op7_language_id,
         "op8_suffix_array_dedup": op8_suffix_array_dedup,
+        "op9_html_extraction": op9_html_extraction,
         "op10_byte_bpe": op10_byte_bpe,
         "op4_warc_zstd": op4_warc_zstd,
         "op5_exact_top_k": op5_exact_top_k,
