@@ -16,9 +16,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from listweave.llm.blocks import described, packed, taken
 from listweave.llm.common import written
 
 NUMBER = "decimal(38,0)"
@@ -127,13 +130,13 @@ CORPUS_MIX = Mix(
 )
 
 
-def corpus_leaves(docs: DataFrame) -> DataFrame:
+def corpus_leaves(docs: DataFrame, n_bytes: Column | None = None) -> DataFrame:
     """``docs`` with _domain, _lang, _source and _tokens; null lang or source are ``unknown``."""
     domain = F.lit("other")
     for name, sources in DOMAINS.items():
         domain = F.when(F.col("source").isin([f"src{i}" for i in sources]), name).otherwise(domain)
     unknown = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("unknown"))
-    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    size = F.coalesce(F.octet_length("text") if n_bytes is None else n_bytes, F.lit(0))
     return docs.withColumns({
         "_domain": domain, "_lang": unknown("lang"), "_source": unknown("source"),
         "_tokens": F.floor((size + BYTES_A_TOKEN - 1) / BYTES_A_TOKEN).cast("long"),
@@ -150,16 +153,15 @@ def mix_corpus(docs: DataFrame, mix: Mix = CORPUS_MIX) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, mix: Mix) -> DataFrame:
     """The documents that the mix takes, with their columns, each as often as it is taken."""
-    names = docs.columns
-    leaves = corpus_leaves(docs).withColumnsRenamed({"_domain": "_l0", "_lang": "_l1", "_source": "_l2"})
-    renamed = Mix(("_l0", "_l1", "_l2"), {f"_l{i}": mix.weights.get(k, {}) for i, k in enumerate(mix.levels)}, mix.default, mix.share, mix.epochs, mix.seed, mix.slice_digits)
-    small = leaves.select("doc_id", "_l0", "_l1", "_l2", "_tokens")
-    taken = mixture(small, renamed, "doc_id", "_tokens").where("_epochs > 0")
-    taken = taken.select(F.col("doc_id").alias("_id"), *[F.col(f"_l{i}").alias(f"_t{i}") for i in range(3)], "_epochs").distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id"))
-    for i in range(3):
-        same = same & (F.col(f"_l{i}") == F.col(f"_t{i}"))
-    joined = leaves.join(taken, same)
-    if mix.epochs > 1:
-        joined = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_epochs"))))
-    return joined.select(*names)
+    columns = docs.columns
+    blocks = packed(docs, "mix-rows")
+
+    def run(batch: pa.RecordBatch) -> dict:
+        own = {c: batch.column(columns.index(c)) for c in ("doc_id", "lang", "source")}
+        return own | {"n_bytes": pc.binary_length(batch.column(columns.index("text")))}
+
+    small = described(blocks, columns, "doc_id long, lang string, source string, n_bytes long", run)
+    rows = written(corpus_leaves(small, F.col("n_bytes")), "mix-described").withColumnsRenamed({"_domain": "domain", "_lang": "lang_", "_source": "source_"})
+    rows = rows.select("block", "row", "doc_id", "domain", F.col("lang_").alias("lang"), F.col("source_").alias("source"), "_tokens")
+    choice = mixture(rows, mix, "doc_id", "_tokens").where("_epochs > 0").select("block", "row", F.col("_epochs").alias("times"))
+    return taken(blocks, choice, docs.schema)

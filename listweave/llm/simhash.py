@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from listweave.llm.blocks import described, packed, taken
 from listweave.llm.common import map_rows, text_bytes, written
 from listweave.llm.components import connected_components, forest
 
@@ -254,12 +255,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     a null doc_id link nothing and have a null component_id; repeated rows each come back; a null or
     empty text has fingerprint zero and links like any other; an empty table gives an empty result.
     """
-    fps = written(fingerprints(docs, doc_id, text), "simhash-fp")
+    return components(written(fingerprints(docs, doc_id, text), "simhash-fp"), distance)
+
+
+def components(fps: DataFrame, distance: int) -> DataFrame:
+    """``fps(doc_id, fp, ...)`` with component_id."""
     reps = written(fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-rep")
     comp = connected_components(link_forest(reps, distance)).withColumnRenamed("node", "rep")
     named = reps.join(comp, "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return fps.join(named, "fp", "left").select(
-        "doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
+        *fps.columns, F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
     )
 
 
@@ -268,6 +273,16 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distan
 
     Of repeated rows with one doc_id, one stays.  Rows with a null doc_id stay as they are.
     """
-    kept = near_duplicates(docs, doc_id, text, distance).where("doc_id = component_id").select(F.col("doc_id").alias("_keep_id")).distinct()
-    named = docs.join(kept, docs[doc_id] == kept["_keep_id"], "left_semi").dropDuplicates([doc_id])
-    return named.unionByName(docs.where(F.col(doc_id).isNull()))
+    columns = docs.columns
+    blocks = packed(docs, "simhash-rows")
+
+    def run(batch: pa.RecordBatch) -> dict:
+        fps = np.array([fingerprint(x) for x in text_bytes(batch, text)], np.uint64).view(np.int64)
+        return {"doc_id": batch.column(columns.index(doc_id)).cast(pa.int64()), "fp": fps}
+
+    rows = written(described(blocks, columns, "doc_id long, fp long", run), "simhash-fp")
+    grouped = components(rows, distance)
+    first = grouped.where("doc_id = component_id").groupBy("doc_id").agg(F.min(F.struct("block", "row")).alias("at"))
+    nameless = rows.where("doc_id is null").select("block", "row")
+    choice = first.select("at.block", "at.row").unionByName(nameless).withColumn("times", F.lit(1))
+    return taken(blocks, choice, docs.schema)
