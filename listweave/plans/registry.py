@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from listweave.plans import serving_queries, state_queries, text_queries  # noqa: F401  they register themselves
+from listweave.plans.register import QUERIES, Query
 
-from pyspark.sql import DataFrame, SparkSession
 
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return {n: f for n, (f, _) in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {n: s for n, (_, s) in QUERIES.items() if s}
