@@ -164,6 +164,8 @@ class Block:
 
 
 def _groups(sorted_keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    if not len(sorted_keys):
+        return
     edges = np.flatnonzero(np.diff(sorted_keys, prepend=-1))
     for a, b in zip(edges.tolist(), np.append(edges[1:], len(sorted_keys)).tolist(), strict=True):
         yield int(sorted_keys[a]), a, b
@@ -204,7 +206,7 @@ def suffix_ranks(t: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     if width < length:
         pair = rank[starts] * (len(t) + 1) + rank[starts + length - width] + 1
         return np.unique(pair, return_inverse=True)[1].astype(np.int64)
-    return rank[starts]
+    return np.unique(rank[starts], return_inverse=True)[1].astype(np.int64)
 
 
 def _first_documents(frame: pd.DataFrame, length: int) -> pd.DataFrame:

@@ -114,6 +114,7 @@ def plan(sample: np.ndarray, rows: int, distance: int) -> list[Part]:
     Pairs that share a part within t bits are counted on the sample; where the sample is too small
     to hold any, independent bits with the sample's frequencies stand in.
     """
+    rows = max(rows, 1000)  # for a few rows every plan is cheap; keep the signatures few
     if len(sample) < 2:
         sample = np.arange(2, dtype=np.uint64)
     ones = ((sample[:, None] >> np.arange(BITS, dtype=np.uint64)) & np.uint64(1)).mean(0)
