@@ -181,7 +181,8 @@ def page_count(x: Text, per_page: int) -> Column:
 def cut_at_heading(x: Text, headings: list[str]) -> Column:
     """Text before the first line that is one of the headings (any case, optional colon)."""
     words = "|".join(f"\\Q{h}\\E" for h in headings)
-    return F.nullif(F.trim(F.get(F.split(_col(x), rf"(?imu)^\s*(?:{words})\s*:?\s*$", 2), F.lit(0))), F.lit(""))
+    head = F.get(F.split(_col(x), rf"(?imu)^\s*(?:{words})\s*:?\s*$", 2), F.lit(0))
+    return F.nullif(F.regexp_replace(head, r"^\s+|\s+$", ""), F.lit(""))
 
 
 def quote_in_any(texts: Text, quote: Column) -> Column:
