@@ -392,3 +392,28 @@ def result_from_json(text: Column) -> Column:
 
 def canonical_input(payload: dict) -> str:
     return json.dumps(payload, ensure_ascii=False, sort_keys=True)
+
+
+def current_enrichments(results: DataFrame, queue: DataFrame) -> DataFrame:
+    """The enrichment of each current result: the same posting and content, this version."""
+    own = queue.where((F.col("schema_version") == VERSION) & (F.col("prompt_version") == VERSION)).select(
+        "source_posting_id", "input_hash", "status", "result", F.col("updated_at").alias("enriched_at")
+    )
+    now = results.where("is_current").select(F.col("id").alias("parse_result_id"), "source_posting_id", "input_hash")
+    return now.join(own, ["source_posting_id", "input_hash"]).select("parse_result_id", "status", "result", "enriched_at")
+
+
+def skills_of_result(result: Column, name: str) -> Column:
+    """A skill list of a result in JSON; empty if it is missing, null or no array of texts."""
+    got = F.try_variant_get(F.try_parse_json(result), f"$.{name}", "array<string>")
+    return F.coalesce(got, F.array().cast("array<string>"))
+
+
+def adaptive(results: DataFrame, enriched: DataFrame | None) -> DataFrame:
+    """Results with enrichment columns, all null where there is no enrichment at all."""
+    columns = {"enrichment_status": "status", "enrichment_result": "result", "enriched_at": "enriched_at"}
+    if enriched is None:
+        kinds = {"enriched_at": "timestamp_ntz"}
+        return results.withColumns({c: F.lit(None).cast(kinds.get(c, "string")) for c in columns})
+    e = enriched.select(F.col("parse_result_id").alias("id"), *[F.col(s).alias(c) for c, s in columns.items()])
+    return results.join(e, "id", "left").withColumn("enrichment_status", F.coalesce("enrichment_status", F.lit("not_enriched")))

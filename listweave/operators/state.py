@@ -169,3 +169,22 @@ def current_results(versions: DataFrame) -> DataFrame:
     """Versions of parse results with is_current on the newest of each posting."""
     order = Window.partitionBy("source_posting_id").orderBy(F.desc("fetched_at"), F.desc("id"))
     return versions.withColumn("is_current", F.row_number().over(order) == 1)
+
+
+def cleanup_log(chosen: DataFrame, outcomes: DataFrame, at: Column) -> DataFrame:
+    """Journal of a clean-up: selected objects with what became of them (object_key, state), else pending."""
+    done = outcomes.select("object_key", F.col("state").alias("_state"))
+    return chosen.where("selected").join(done, "object_key", "left").select(
+        "job_id", "bucket_name", "object_key", "content_sha256", F.col("content_length_bytes").alias("bytes"), "reason",
+        F.coalesce("_state", F.lit("pending")).alias("status"), at.alias("created_at"), F.when(F.col("_state").isNotNull(), at).alias("finished_at"),
+    )
+
+
+def after_cleanup(jobs: DataFrame, raw_objects: DataFrame, log: DataFrame, at: Column) -> tuple[DataFrame, DataFrame]:
+    """(jobs, raw objects) after a clean-up: what is deleted or missing is purged; what changed stays."""
+    gone = log.where(F.col("status").isin("deleted", "missing")).select("job_id", "object_key")
+    hit = gone.select(F.col("job_id").alias("id")).distinct().withColumn("_gone", F.lit(True))
+    next_jobs = jobs.join(hit, "id", "left").withColumn("raw_status", F.when(F.col("_gone"), "storage_missing").otherwise(F.col("raw_status"))).select(*jobs.columns)
+    keys = gone.select("object_key").distinct().withColumn("_gone", F.lit(True))
+    next_raw = raw_objects.join(keys, "object_key", "left").withColumn("purged_at", F.when(F.col("_gone"), at).otherwise(F.col("purged_at"))).select(*raw_objects.columns)
+    return next_jobs, next_raw

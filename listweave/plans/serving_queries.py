@@ -378,3 +378,53 @@ def _(s, d):
 @query("skills_unknown", "SELECT 'juggling' AS spelling, count(*) AS jobs FROM listings WHERE enrichment_status = 'succeeded' AND list_contains(skills_required, 'juggling') HAVING count(*) > 0", ("listings",))
 def _(s, d):
     return skills.skill_audit(view(s, d, "listings"))["unknown"]
+
+
+# -- results of enrichment ---------------------------------------------------------------------------
+
+_JSON = """CASE id % 5 WHEN 0 THEN '{"skills_required": ["Python", "Postgres"], "skills_preferred": ["SQL", "postgres"]}' WHEN 1 THEN '{"skills_required": "Python"}' WHEN 2 THEN '{bad' WHEN 3 THEN '{"skills_required": null}' END"""
+
+
+@query("enrich_current_skills", f"""WITH q AS (SELECT id, status, {_JSON} AS result FROM queue)
+  SELECT id, CASE WHEN status = 'succeeded' AND id % 5 = 0 THEN 'postgresql,python' ELSE '' END AS required, CASE WHEN status = 'succeeded' AND id % 5 = 0 THEN 'sql' ELSE '' END AS preferred FROM q""", ("queue",))
+def _(s, d):
+    q = view(s, d, "queue").withColumn("result", F.expr(_JSON))
+    q = q.withColumns({"enrichment_status": F.col("status"), "skills_required": enrichment.skills_of_result(F.col("result"), "skills_required"), "skills_preferred": enrichment.skills_of_result(F.col("result"), "skills_preferred")})
+    return skills.with_skill_keys(q).select("id", F.array_join("required_skill_keys", ",").alias("required"), F.array_join("preferred_skill_keys", ",").alias("preferred"))
+
+
+@query("enrich_current_results", "SELECT r.id AS parse_result_id, q.status FROM results r JOIN queue q ON q.source_posting_id = r.source_posting_id AND q.input_hash = md5(CAST(r.job_id AS VARCHAR)) WHERE r.is_current", ("results", "queue"))
+def _(s, d):
+    r = view(s, d, "results").withColumn("input_hash", F.md5(F.col("job_id").cast("string").cast("binary")))
+    q = view(s, d, "queue").withColumns({"result": F.lit(None).cast("string"), "updated_at": at()})
+    return enrichment.current_enrichments(r, q).select("parse_result_id", "status")
+
+
+@query("enrich_finish", f"""SELECT id, CASE WHEN id % 4 > 0 THEN status WHEN id % 8 = 0 THEN 'succeeded' WHEN attempts >= 3 THEN 'failed' ELSE 'retry_wait' END AS status,
+  CASE WHEN id % 4 > 0 THEN next_attempt_at ELSE {TS} + INTERVAL '15' MINUTE END AS next_attempt_at FROM queue""", ("queue",))
+def _(s, d):
+    q = view(s, d, "queue")
+    outcomes = q.where("id % 4 = 0").select("id", F.lit("{}").alias("result"), F.when(F.col("id") % 8 > 0, "timeout").alias("error"))
+    return enrichment.finish(q, outcomes, at(), 3).select("id", "status", "next_attempt_at")
+
+
+@query("enrich_compare_arms", "SELECT count(*) AS compared, avg(CASE WHEN id % 3 > 0 THEN 1.0 ELSE 0.0 END) AS work_mode, CAST(1 AS DOUBLE) AS skills_required FROM queue", ("queue",))
+def _(s, d):
+    i = F.col("id")
+    arm = lambda n: view(s, d, "queue").select("id", F.when(i % n == 0, "remote").otherwise("hybrid").alias("work_mode"), (F.array(F.lit("A"), F.lit("b")) if n > 3 else F.array(F.lit("b"), F.lit("a"))).alias("skills_required"))
+    single = arm(9).withColumn("work_mode", F.lit("hybrid"))
+    return enrichment.compare_arms(single, arm(3), ("work_mode", "skills_required"))
+
+
+@query("enrich_adaptive_projection", "SELECT r.id, coalesce(q.status, 'not_enriched') AS enrichment_status FROM results r LEFT JOIN (SELECT id * 10 + 1 AS rid, status FROM queue) q ON q.rid = r.id", ("results", "queue"))
+def _(s, d):
+    e = view(s, d, "queue").select((F.col("id") * 10 + 1).alias("parse_result_id"), "status", F.lit(None).cast("string").alias("result"), at().alias("enriched_at"))
+    return enrichment.adaptive(view(s, d, "results"), e).select("id", "enrichment_status")
+
+
+@query("publish_foreign_rows", f"WITH {_STAGED} SELECT 'job' AS kind, id FROM serving WHERE id % 6 = 1 UNION ALL SELECT 'source', id FROM src WHERE id >= 7", _PUBLISH_VIEWS)
+def _(s, d):
+    staged, state = _staged(s, d)
+    serving = _serving(staged, state).withColumn("canonical_url", F.when(F.col("id") % 6 == 1, F.lit("moved")).otherwise(F.col("canonical_url")))
+    sources = view(s, d, "src")
+    return publish.foreign_rows(serving, sources, state, sources.where("id < 7"))

@@ -315,3 +315,25 @@ def _(s, d):
 def _(s, d):
     e = base(s, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     return e.groupBy(F.session_window("ts", "2 hours").alias("w"), "user_id").agg(F.count("*").alias("rows")).select("user_id", F.col("w.start").cast("timestamp_ntz").alias("session_start"), "rows")
+
+
+@query("quality_identity_errors", r"""WITH p AS (SELECT page_id, url, CASE WHEN page_id % 4 = 0 THEN 'https://h/x/' || page_id ELSE url END AS final_url, CASE WHEN page_id % 3 = 0 THEN 'https://h/y/1' END AS canonical_url FROM pages),
+  i AS (SELECT page_id, nullif(regexp_extract(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/(\d+)$', 1), '') AS a, nullif(regexp_extract(regexp_extract(final_url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/(\d+)$', 1), '') AS b,
+    canonical_url IS NOT NULL AS has, nullif(regexp_extract(regexp_extract(canonical_url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/(\d+)$', 1), '') AS c FROM p)
+  SELECT page_id, CASE WHEN a IS NULL THEN 'no_identity_in_url' WHEN a IS DISTINCT FROM b THEN 'final_url_of_another_listing' ELSE 'canonical_url_of_another_listing' END AS identity_error FROM i WHERE a IS NULL OR a IS DISTINCT FROM b OR (has AND a IS DISTINCT FROM c)""")
+def _(s, d):
+    k = F.col("page_id")
+    p = base(s, d, "pages").select("page_id", "url", F.when(k % 4 == 0, F.concat(F.lit("https://h/x/"), k.cast("string"))).otherwise(F.col("url")).alias("final_url"), F.when(k % 3 == 0, F.lit("https://h/y/1")).alias("canonical_url"))
+    return quality.identity_errors(p, r"/(\d+)$").select("page_id", "identity_error")
+
+
+@query("audit_checksum")
+def _(s, d):
+    return audit.content_checksum(view(s, d, "jobs"))
+
+
+@query("extract_last_pages", "SELECT page_id % 40 + 1 AS pages, count(*) AS n FROM pages GROUP BY 1")
+def _(s, d):
+    bar = F.concat(F.lit('<ul class="pagination"><a href="?page=1">1</a><a href="?page='), (F.col("page_id") % 40 + 1).cast("string"), F.lit('">n</a></ul>'))
+    found = sites.last_pages(base(s, d, "pages").select(F.lit("careerlink").alias("source"), "url", F.concat(bar, "html").alias("html")))
+    return found.groupBy(F.col("last_page").cast("long").alias("pages")).agg(F.count("*").alias("n"))
