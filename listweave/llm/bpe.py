@@ -28,6 +28,8 @@ from listweave.llm.common import arrow_limits, map_rows
 CHUNK, OVERLAP = 32_768, 512
 #: A boundary this close to a chunk's right end may come from a match that the end cut short.
 MARGIN = 16
+#: Bytes up to which a piece is merged by scanning its ranks.
+SHORT = 64
 #: Pieces that a worker remembers the ids of.
 REMEMBERED = 400_000
 
@@ -87,6 +89,7 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.tokens = {v: k for k, v in ranks.items()}
+        self.beyond = max(ranks.values(), default=0) + 1
         self.pattern = regex.compile(pattern)
         self.text_of = {v: str(v) for v in ranks.values()}
         self.seen: dict[str, tuple[int, ...]] = {}
@@ -97,6 +100,8 @@ class Codec:
         if got is not None:
             return (got,)
         n = len(piece)
+        if n <= SHORT:
+            return self._merge_short(piece)
         nxt, prev, width = list(range(1, n + 1)), list(range(-1, n - 1)), [1] * n
         heap = []
         for i in range(n - 1):
@@ -128,6 +133,24 @@ class Codec:
             i = nxt[i]
         return tuple(out)
 
+    def _merge_short(self, piece: bytes) -> tuple[int, ...]:
+        """The same for a short piece: scanning a few ranks beats a heap."""
+        get, last = self.ranks.get, self.beyond
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        near = [get(a + b, last) for a, b in zip(parts, parts[1:], strict=False)]
+        while near:
+            least = min(near)
+            if least == last:
+                break
+            i = near.index(least)
+            parts[i] += parts.pop(i + 1)
+            del near[i]
+            if i < len(near):
+                near[i] = get(parts[i] + parts[i + 1], last)
+            if i:
+                near[i - 1] = get(parts[i - 1] + parts[i], last)
+        return tuple([self.ranks[x] for x in parts])
+
     def encode_pieces(self, pieces: list[str]) -> list[int]:
         seen, out = self.seen, []
         for p in pieces:
