@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from listweave.llm.common import arrow_limits, held_out, map_rows, slices
+from listweave.llm.common import arrow_limits, held_out, map_rows, slices, written
 
 ORDER = 4
 #: Rows of each language that a model is fitted on, at most, and the longest text among them.
@@ -209,9 +209,18 @@ def fit_languages(docs: DataFrame, rows: int = FIT_ROWS, chars: int = FIT_CHARS)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
     usable = base.where(~held_out("doc_id") & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
     usable = usable.where(F.col("text").rlike(r"\p{L}") & (F.length("text") <= chars))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(13), "doc_id"), "doc_id")
-    ids = usable.select("doc_id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows)
-    ids = ids.select("doc_id", "lang").distinct()
+    # rows of the smallest hashes: counts by slice of the hash order, coarse and then fine, say how far
+    # to look in each language, so that no task orders a language's rows, however many there are
+    near = written(usable.select("doc_id", "lang", F.xxhash64(F.lit(13), "doc_id").alias("h")), "langid-ids")
+    for bits in (10, 20):
+        upto = Window.partitionBy("lang").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+        sliced = near.withColumn("slice", F.shiftright("h", 64 - bits))
+        counts = sliced.groupBy("lang", "slice").agg(F.count("*").alias("n"))
+        cuts = counts.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0))).where(F.col("before") < rows)
+        cuts = cuts.groupBy("lang").agg(F.max("slice").alias("last"))
+        near = sliced.join(F.broadcast(cuts), "lang").where("slice <= last").drop("slice", "last")  # cuts: a row a language
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
+    ids = near.withColumn("n", place).where(F.col("n") <= rows).select("doc_id", "lang").distinct()
     vocabulary = 1024
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
