@@ -38,8 +38,8 @@ class Mix:
     share: tuple[int, int] = (1, 1)
     epochs: int = 1
     seed: int = 17
-    #: Hex digits of the order's hash that name a slice.
-    slice_digits: int = 3
+    #: Hex digits of the order's hash that name a slice, from coarse to fine slices.
+    slice_digits: tuple[int, ...] = (2, 4)
 
     def weight(self, level: str) -> Column:
         known = self.weights.get(level, {})
@@ -106,10 +106,20 @@ def mixture(docs: DataFrame, mix: Mix, key: str, tokens: str) -> DataFrame:
         F.expr("cast(coalesce(budget % nullif(tokens, 0), 0) as decimal(38,0))").alias("_rest"),
     )
     order = F.md5(F.concat_ws(":", F.lit(mix.seed), F.col("_whole"), F.col("_key")).cast("binary"))
-    drawn = units.join(planned, levels).withColumn("_order", order).withColumn("_slice", F.substring("_order", 1, mix.slice_digits))
-    sums = drawn.groupBy(*levels, "_slice").agg(F.sum("_n").cast(NUMBER).alias("_sum"))
-    ahead = Window.partitionBy(*levels).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(*levels, "_slice", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).cast(NUMBER).alias("_ahead"))
+    drawn = units.join(planned, levels).withColumn("_order", order).withColumn("_slice", F.substring("_order", 1, mix.slice_digits[-1]))
+    # tokens ahead of each slice: within its coarser slice, plus those ahead of that one
+    sums, outer = None, 0
+    fine = drawn.groupBy(*levels, "_slice").agg(F.sum("_n").cast(NUMBER).alias("_sum"))
+    for digits in mix.slice_digits:
+        here, up = F.substring("_slice", 1, digits), F.substring("_here", 1, outer)
+        x = fine.groupBy(*levels, here.alias("_here")).agg(F.sum("_sum").cast(NUMBER).alias("_sum")).withColumn("_up", up)
+        line = Window.partitionBy(*levels, "_up").orderBy("_here").rowsBetween(Window.unboundedPreceding, -1)
+        x = x.withColumn("_own", F.coalesce(F.sum("_sum").over(line), F.lit(0)).cast(NUMBER))
+        if sums is not None:
+            x = x.join(sums.withColumnsRenamed({"_here": "_up", "_ahead": "_before"}), [*levels, "_up"])
+        ahead = F.col("_own") if sums is None else F.col("_own") + F.col("_before")
+        sums, outer = x.select(*levels, "_here", ahead.cast(NUMBER).alias("_ahead")), digits
+    sums = sums.withColumnRenamed("_here", "_slice")
     upto = Window.partitionBy(*levels, "_slice").orderBy("_order", "_key").rowsBetween(Window.unboundedPreceding, 0)
     placed = drawn.join(sums, [*levels, "_slice"]).withColumn("_upto", F.col("_ahead") + F.sum("_n").over(upto))
     taken = placed.select(*levels, "_key", (F.col("_whole") + F.when(F.col("_upto") <= F.col("_rest"), 1).otherwise(0)).alias("_epochs"))

@@ -79,7 +79,7 @@ def test_siblings_take_a_shortage_first(spark):
 
 def test_slices_do_not_matter(spark):
     frame = spark.createDataFrame([("d", "l", "s", str(i), i % 9 + 1) for i in range(300)], "d string, l string, s string, k string, n long")
-    results = [sorted((r.k, r._epochs) for r in M.mixture(frame, M.Mix(levels=("d", "l", "s"), share=(1, 3), slice_digits=n), "k", "n").collect()) for n in (1, 2, 4)]
+    results = [sorted((r.k, r._epochs) for r in M.mixture(frame, M.Mix(levels=("d", "l", "s"), share=(1, 3), slice_digits=n), "k", "n").collect()) for n in ((1,), (1, 2), (2, 3, 5))]
     assert results[0] == results[1] == results[2]
 
 
