@@ -37,6 +37,13 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with the scheme and authority that Spark reads it by."""
+    jvm = spark.sparkContext._jvm
+    here = jvm.org.apache.hadoop.fs.Path(path)
+    return here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(here).toString()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back: the lineage ends there."""
     spark = df.sparkSession

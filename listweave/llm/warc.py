@@ -24,7 +24,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listweave.llm.common import arrow_limits, shared_dir, written
+from listweave.llm.common import arrow_limits, qualified, shared_dir, written
 
 # Fixed values of the formats.
 DICTIONARY_FRAME = 0x184D2A5D
@@ -211,7 +211,8 @@ def write_pages(pages: DataFrame, folder: str) -> DataFrame:
     joined = rows.join(kept, "sha1").select(
         "page_id", "url", F.octet_length("html").alias("size"), "sha1", F.when(own, F.col("html")).alias("payload"), F.when(~own, F.col("keeper")).alias("refers_to")
     )
-    base = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+    base = qualified(spark, folder)
+    base = base if "://" in base else base.replace("file:", "file://", 1)
 
     def save(records: list[bytes]) -> pa.RecordBatch:
         system, path = fs.FileSystem.from_uri(base)
