@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import functools
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -57,11 +58,16 @@ def clean_text(x: Text) -> Column:
 
     Null where nothing is left.
     """
-    lines = F.split(visible(x), "\r\n|[\n\r\u000b\u000c\u001c-\u001e\u0085  ]")
-    tidy = F.transform(lines, lambda s: F.regexp_replace(F.trim(F.regexp_replace(s, "[\t\r\f\u000b ]+", " ")), r"\s+([,.;:!?%])", "$1"))
-    kept = F.filter(tidy, lambda s: s != "")
-    once = F.zip_with(kept, _shifted(kept, "string"), lambda s, before: F.when(~s.eqNullSafe(before), s))
-    return F.nullif(F.array_join(F.array_compact(once), "\n"), F.lit(""))
+    out = F.regexp_replace(visible(x), "\r\n|[\n\r\u000b\u000c\u001c-\u001e\u0085\u2028\u2029]", "\n")
+    for pattern, plain in (("[\t ]+", " "), (" ?\n[\n ]*", "\n"), ("^[\n ]+|[\n ]+$", ""), (" +([,.;:!?%])", "$1")):
+        out = F.regexp_replace(out, pattern, plain)
+    # a line goes if the next one equals it; one match a line, so long runs need no deep recursion
+    return F.nullif(F.regexp_replace(out, "(?md)^(.+)\n(?=\\1$)", ""), F.lit(""))
+
+
+def once(x: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(x)`` with ``x`` evaluated one time, however often ``f`` names it."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
 
 
 def _shifted(items: Column, kind: str) -> Column:
@@ -74,14 +80,15 @@ def first_spellings(items: Column) -> Column:
     """Items without those equal to an earlier one but for case."""
     kind = "struct<l:string,i:int,s:string>"
     ranked = F.array_sort(F.transform(items, lambda s, i: F.struct(F.lower(s).alias("l"), i.cast("int").alias("i"), s.alias("s"))))
-    first = F.zip_with(ranked, _shifted(ranked, kind), lambda a, b: F.when(a.isNotNull() & ~a["l"].eqNullSafe(b["l"]), F.struct(a["i"].alias("i"), a["s"].alias("s"))))
+    new = lambda a, b: F.when(a.isNotNull() & ~a["l"].eqNullSafe(b["l"]), F.struct(a["i"].alias("i"), a["s"].alias("s")))
+    first = once(ranked, lambda r: F.zip_with(r, _shifted(r, kind), new))
     return F.transform(F.array_sort(F.array_compact(first)), lambda x: x["s"])
 
 
 def clean_items(items: Text) -> Column:
     """Cleaned items without blanks and repeats; an empty array for null."""
     cleaned = F.filter(F.transform(_col(items), clean_text), lambda s: s.isNotNull())
-    return F.coalesce(first_spellings(cleaned), F.array().cast("array<string>"))
+    return F.coalesce(once(cleaned, first_spellings), F.array().cast("array<string>"))
 
 
 def split_values(x: Text, separator: str = ",") -> Column:

@@ -24,7 +24,8 @@ _PLAIN = f"lower(regexp_replace(replace(translate({{0}}, '{_FROM}', '{_TO}'), '
   WITH l AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '\r\n|[\n\r]'), lambda s: regexp_replace(trim(regexp_replace(s, '[\t ]+', ' ', 'g')), '\s+([,.;:!?%])', '\1', 'g')), lambda s: s <> '') AS x FROM documents)
   SELECT doc_id, sha256(array_to_string(list_filter(x, lambda s, i: i = 1 OR s <> x[i - 1]), chr(10))) AS cleaned_sha256, len(list_filter(x, lambda s, i: i = 1 OR s <> x[i - 1])) AS lines FROM l WHERE len(x) > 0""")
 def _(s, d):
-    docs = base(s, d, "documents").select("doc_id", T.clean_text("text").alias("t")).where("t is not null")
+    # the generator cleans each text one time and leaves nulls out
+    docs = base(s, d, "documents").select("doc_id", F.explode(F.array_compact(F.array(T.clean_text("text")))).alias("t"))
     return docs.select("doc_id", F.sha2("t", 256).alias("cleaned_sha256"), F.size(F.split("t", "\n")).cast("long").alias("lines"))
 
 
