@@ -15,8 +15,8 @@ from listweave.llm.bpe import encode_documents
 from listweave.llm.common import read_table, written
 from listweave.llm.langid import known_languages
 from listweave.llm.mixing import CORPUS_MIX, mixed_documents
+from listweave.llm.nearcopies import keep_one_copy
 from listweave.llm.repeats import without_repeats
-from listweave.llm.simhash import keep_one
 
 #: The pipeline takes each document once at most and a tenth less than all tokens, so that the
 #: weights have room to act without repeating what the stages before have made unique.
@@ -29,8 +29,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest doc_id."""
-    return keep_one(docs)
+    """One document of each group of near copies (5-word Jaccard of 0.8 or more): the smallest doc_id."""
+    return keep_one_copy(docs)
 
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
