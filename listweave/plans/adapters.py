@@ -91,7 +91,7 @@ VIEWS: dict[str, str] = {
       FROM events""",
     "listings": """
       SELECT doc_id AS id, CAST(doc_id % 9 AS BIGINT) AS source_id, concat('src', CAST(doc_id % 9 AS STRING)) AS source_code, concat('Source ', CAST(doc_id % 9 AS STRING)) AS source_name,
-             substr(text, 1, 60) AS title, source AS employer_name_raw, concat('https://site.example/', CAST(doc_id AS STRING)) AS canonical_url,
+             text AS title, source AS employer_name_raw, concat('https://site.example/', CAST(doc_id AS STRING)) AS canonical_url,
              CASE WHEN doc_id % 4 = 0 THEN array('Python', 'Postgres') WHEN doc_id % 4 = 1 THEN array('C++', 'Java') ELSE array('SQL') END AS skills_raw,
              array(lang) AS categories_raw,
              CASE doc_id % 5 WHEN 0 THEN array('Hà Nội', 'Đà Nẵng') WHEN 1 THEN array('Hồ Chí Minh') WHEN 2 THEN array(' ') ELSE array('Huế') END AS location_cities,
