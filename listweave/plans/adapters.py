@@ -33,11 +33,11 @@ VIEWS: dict[str, str] = {
              CASE WHEN o_orderkey % 7 > 0 THEN concat('scope', CAST((o_custkey % 9) % 3 AS STRING)) END AS tracking_scope_hash
       FROM orders""",
     "raw_objects": """
-      SELECT o_orderkey * 10 AS id, o_orderkey AS job_id, concat('key-', CAST(o_orderkey AS STRING)) AS object_key, 'raw' AS bucket_name,
+      SELECT CASE WHEN o_orderkey % 4 > 0 THEN o_orderkey * 10 ELSE -10 * o_orderkey END AS id, CASE WHEN o_orderkey % 4 > 0 THEN o_orderkey ELSE -o_orderkey END AS job_id, concat('key-', CAST(o_orderkey AS STRING)) AS object_key, 'raw' AS bucket_name,
              md5(CAST(o_orderkey AS STRING)) AS content_sha256, CAST(floor(o_totalprice) AS BIGINT) AS content_length_bytes,
              o_orderdate + INTERVAL '1' DAY AS stored_at, o_orderdate + INTERVAL '1' DAY AS fetched_at,
              CASE WHEN o_orderkey % 17 = 0 THEN o_orderdate + INTERVAL '90' DAY END AS purged_at
-      FROM orders WHERE o_orderkey % 4 > 0""",
+      FROM orders""",
     "postings": """
       SELECT o_orderkey + 1000000 AS id, CAST(o_custkey % 9 AS BIGINT) AS source_id, concat('https://site.example/job/', CAST(o_orderkey AS STRING)) AS canonical_url,
              o_orderkey AS crawler_job_id, o_orderdate AS first_seen_at, o_orderdate + INTERVAL '20' DAY AS last_seen_at
@@ -54,7 +54,7 @@ VIEWS: dict[str, str] = {
              CASE WHEN l_discount > 0.05 THEN CAST(l_extendedprice AS STRING) END AS salary_raw, CASE WHEN l_partkey % 2 = 0 THEN 'full time' END AS employment_type_raw,
              CASE WHEN l_partkey % 7 = 0 THEN '3 years' END AS experience_raw,
              CASE WHEN l_partkey % 8 > 4 THEN l_shipdate END AS posted_at, CASE WHEN l_partkey % 8 > 5 THEN l_shipdate + INTERVAL '30' DAY END AS expires_at
-      FROM lineitem WHERE l_linenumber < 4""",
+      FROM lineitem""",
     "parse_attempts": """
       SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS job_id, l_orderkey * 10 AS raw_object_id, 'page' AS parser_name,
              concat('1.', CAST(l_linenumber % 2 AS STRING)) AS parser_version, l_linenumber AS attempt_number,
@@ -64,7 +64,7 @@ VIEWS: dict[str, str] = {
     "fetch_attempts": """
       SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS job_id, CASE WHEN l_returnflag = 'A' THEN 'success' WHEN l_returnflag = 'N' THEN 'fetch_error' ELSE 'blocked' END AS status,
              CASE WHEN l_returnflag = 'N' THEN 'timeout' END AS error_type, CASE WHEN l_returnflag = 'R' THEN 403 WHEN l_returnflag = 'A' THEN 200 END AS http_status, l_shipdate AS started_at
-      FROM lineitem WHERE l_linenumber < 3""",
+      FROM lineitem""",
     "runs": """
       SELECT CAST(c_custkey AS BIGINT) AS id, concat('src', CAST(c_custkey % 9 AS STRING)) AS source,
              CASE c_mktsegment WHEN 'BUILDING' THEN 'full' WHEN 'HOUSEHOLD' THEN 'detail' WHEN 'MACHINERY' THEN 'parse' ELSE 'discovery' END AS phase,

@@ -117,8 +117,8 @@ def _(s, d):
     return enrichment.request_status(m)
 
 
-_CONTENT = """content AS (SELECT c_custkey + 1000000 AS source_posting_id, md5(CAST(c_custkey AS VARCHAR)) AS input_hash, 'src' || (c_custkey % 9) AS source,
-  CASE WHEN c_custkey % 8 > 0 THEN TIMESTAMP '2001-06-01 00:00:00' + CAST(c_custkey % 60 AS INT) * INTERVAL '1' DAY END AS first_seen_at FROM customer WHERE c_custkey % 5 < 4),
+_CONTENT = """content AS (SELECT CASE WHEN c_custkey % 5 < 4 THEN c_custkey + 1000000 ELSE -c_custkey END AS source_posting_id, md5(CAST(c_custkey AS VARCHAR)) AS input_hash, 'src' || (c_custkey % 9) AS source,
+  CASE WHEN c_custkey % 8 > 0 THEN TIMESTAMP '2001-06-01 00:00:00' + CAST(c_custkey % 60 AS INT) * INTERVAL '1' DAY END AS first_seen_at FROM customer),
  r AS (SELECT c.*, e.id AS eid, e.status, coalesce(e.attempts, 0) AS attempts, e.id IS NULL OR e.next_attempt_at <= TIMESTAMP '2001-07-31 12:00:00' AS due FROM content c LEFT JOIN (SELECT * FROM queue WHERE id % 2 = 0) e USING (source_posting_id, input_hash)
    WHERE c.first_seen_at IS NULL OR (c.first_seen_at >= TIMESTAMP '2001-06-10 00:00:00' AND c.first_seen_at < TIMESTAMP '2001-07-20 00:00:00')),
  b AS (SELECT *, CASE WHEN first_seen_at IS NULL THEN 'missing_date' WHEN status = 'succeeded' THEN 'succeeded' WHEN status = 'failed' OR attempts >= 3 THEN 'failed_or_exhausted' WHEN status = 'processing' THEN 'processing' WHEN due THEN 'ready' ELSE 'retry_later' END AS bucket FROM r)"""
@@ -127,8 +127,8 @@ _CONTENT = """content AS (SELECT c_custkey + 1000000 AS source_posting_id, md5(C
 def _backfill(s, d) -> DataFrame:
     k = F.col("c_custkey")
     day = F.lit("2001-06-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days=(k % 60).cast("int"))
-    content = base(s, d, "customer").where("c_custkey % 5 < 4").select(
-        (k + 1_000_000).alias("source_posting_id"), F.md5(k.cast("string").cast("binary")).alias("input_hash"), F.concat(F.lit("src"), (k % 9).cast("string")).alias("source"), F.when(k % 8 > 0, day).alias("first_seen_at")
+    content = base(s, d, "customer").select(
+        F.when(k % 5 < 4, k + 1_000_000).otherwise(-k).alias("source_posting_id"), F.md5(k.cast("string").cast("binary")).alias("input_hash"), F.concat(F.lit("src"), (k % 9).cast("string")).alias("source"), F.when(k % 8 > 0, day).alias("first_seen_at")
     )
     moment = lambda t: F.lit(t).cast("timestamp_ntz")
     return enrichment.backfill_rows(content, view(s, d, "queue").where("id % 2 = 0"), "first_seen_at", moment("2001-06-10 00:00:00"), moment("2001-07-20 00:00:00"), at(), 3)
