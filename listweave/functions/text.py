@@ -61,8 +61,10 @@ def clean_text(x: Text) -> Column:
     out = F.regexp_replace(visible(x), "\r\n|[\n\r\u000b\u000c\u001c-\u001e\u0085\u2028\u2029]", "\n")
     for pattern, plain in (("[\t ]+", " "), (" ?\n[\n ]*", "\n"), ("^[\n ]+|[\n ]+$", ""), (" +([,.;:!?%])", "$1")):
         out = F.regexp_replace(out, pattern, plain)
-    # a line goes if the next one equals it; one match a line, so long runs need no deep recursion
-    return F.nullif(F.regexp_replace(out, "(?md)^(.+)\n(?=\\1$)", ""), F.lit(""))
+    # a line goes if the one before equals it
+    new = lambda line, before: F.when(~line.eqNullSafe(before), line)
+    lines = once(F.split(out, "\n"), lambda x: F.array_compact(F.zip_with(x, F.slice(_shifted(x, "string"), 1, F.size(x)), new)))
+    return F.nullif(F.array_join(lines, "\n"), F.lit(""))
 
 
 def once(x: Column, f: Callable[[Column], Column]) -> Column:
@@ -104,7 +106,7 @@ def without_heading(x: Text, heading: str) -> Column:
     """Cleaned text whose first line is dropped if it is the heading, in whatever case."""
     text = clean_text(x)
     lines = F.split(text, "\n")
-    rest = F.array_join(F.slice(lines, 2, 1_000_000), "\n")
+    rest = F.array_join(F.slice(lines, 2, F.size(lines)), "\n")
     return F.when(F.lower(F.get(lines, F.lit(0))) == heading.strip().lower(), F.nullif(rest, F.lit(""))).otherwise(text)
 
 

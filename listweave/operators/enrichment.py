@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+from collections import deque
 from dataclasses import dataclass, replace
 from datetime import datetime, timedelta, timezone
 from typing import Any
@@ -31,6 +32,8 @@ RESULT_SCHEMA = (
 #: Tokens a byte until usage is known; samples needed, head room and floor once it is.
 FIRST_RATIO, MIN_SAMPLES, HEADROOM, FLOOR, SAMPLES = 0.5, 20, 1.25, 0.25, 100
 RETRY_MINUTES = 15
+#: Spans of rolling sums and the slices they are summed in, in microseconds.
+DAY, MINUTE, SLICE = 86_400_000_000, 60_000_000, 900_000_000
 
 
 def input_hash() -> Column:
@@ -135,15 +138,31 @@ def admission(providers: DataFrame, attempts: DataFrame, blocks: DataFrame, at:
 
 
 def rolling_usage(attempts: DataFrame) -> DataFrame:
-    """Each attempt with the tokens and requests of its provider in the day and minute up to it."""
-    moment = F.unix_micros(F.col("started_at").cast("timestamp"))
-    by = Window.partitionBy("provider").orderBy(moment)
-    spent = F.coalesce("actual_tokens", "reserved_tokens")
-    day, minute = by.rangeBetween(-86_400_000_000 + 1, 0), by.rangeBetween(-60_000_000 + 1, 0)
-    return attempts.withColumns({
-        "tokens_day": F.sum(spent).over(day), "requests_day": F.count("*").over(day),
-        "tokens_minute": F.sum(spent).over(minute), "requests_minute": F.count("*").over(minute),
-    })
+    """Each attempt with the tokens and requests of its provider in the day and minute up to it.
+
+    An attempt adds to both sums when it starts and takes from each when it leaves it.  These steps are
+    summed in slices of time, a task a provider and slice, on top of what the slices before amount to,
+    so that no task holds a provider's whole ledger.  An attempt without a start counts for nothing.
+    """
+    sums = ("tokens_day", "requests_day", "tokens_minute", "requests_minute")
+    kinds = [f"struct<{', '.join(f'{s}:bigint' for s in sums)}>"]
+    spent = F.coalesce("actual_tokens", "reserved_tokens").cast("long")
+    tokens, nothing, one = F.coalesce(spent, F.lit(0)), F.lit(0), F.lit(1)
+    steps = ((0, (tokens, one, tokens, one)), (DAY, (-tokens, -one, nothing, nothing)), (MINUTE, (nothing, nothing, -tokens, -one)))
+    start = F.unix_micros(F.col("started_at").cast("timestamp"))
+    row = F.struct(*[F.col(c) for c in attempts.columns])
+    moved = F.array(*[
+        F.struct((start + after).alias("_at"), F.struct(*[v.cast("long").alias(n) for n, v in zip(sums, change, strict=True)]).cast(kinds[0]).alias("_by"), F.when(F.lit(after == 0), row).alias("_row"))
+        for after, change in steps
+    ])
+    events = attempts.select(F.col("provider").alias("_who"), F.explode(moved).alias("_e")).select("_who", "_e.*").withColumn("_slice", F.floor(F.col("_at") / SLICE))
+    slices = events.groupBy("_who", "_slice").agg(*[F.sum(f"_by.{s}").alias(s) for s in sums])
+    ahead = Window.partitionBy("_who").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    held = slices.select(F.col("_who").alias("_w"), F.col("_slice").alias("_s"), *[F.coalesce(F.sum(s).over(ahead), F.lit(0)).alias(f"_{s}") for s in sums])
+    placed = events.join(held, F.col("_who").eqNullSafe(F.col("_w")) & F.col("_slice").eqNullSafe(F.col("_s")))
+    here = Window.partitionBy("_who", "_slice").orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
+    out = placed.withColumns({s: F.col(f"_{s}") + F.sum(f"_by.{s}").over(here) for s in sums}).where("_row is not null")
+    return out.select("_row.*", *sums)
 
 
 def request_status(members: DataFrame) -> DataFrame:
@@ -191,19 +210,24 @@ def pack(sizes: list[tuple[Any, int, int]], p: Packing) -> list[list[Any]]:
     A head that was tried before goes alone; only untried jobs follow; the first that does not fit ends
     the request.
     """
-    left, out = list(sizes), []
-    while left:
-        head, group, held = left[0], [left[0]], left[0][1]
-        if not head[2] and p.size > 1:
-            for job in [j for j in left[1:] if not j[2]][: p.size - 1]:
-                read = math.ceil((p.overhead_bytes + held + job[1]) * p.ratio)
+    # untried jobs are taken in order, by heads as by followers, so one queue of them serves both
+    fresh, out, taken = deque(i for i, job in enumerate(sizes) if not job[2]), [], 0
+    for place, (name, held, attempts) in enumerate(sizes):
+        if not attempts and place < taken:
+            continue
+        group = [name]
+        if not attempts:
+            fresh.popleft()
+            while fresh and len(group) < p.size:
+                follower, size, _ = sizes[fresh[0]]
+                read = math.ceil((p.overhead_bytes + held + size) * p.ratio)
                 if read > p.max_input_tokens or read + p.output_per_job * (len(group) + 1) > p.max_request_tokens:
                     break
-                group.append(job)
-                held += job[1]
-        used = {j[0] for j in group}
-        left = [j for j in left if j[0] not in used]
-        out.append([j[0] for j in group])
+                group.append(follower)
+                held += size
+                fresh.popleft()
+            taken = fresh[0] if fresh else len(sizes)
+        out.append(group)
     return out
 
 

@@ -69,28 +69,32 @@ def assess(records: DataFrame) -> DataFrame:
     )
 
 
-#: Characters of a page in which block signs are looked for.
-BLOCK_CHARS = 200_000
+# Marks of block pages, in lower case, and what they mean.
+CHALLENGE_TITLE = "<title>just a moment"
+CHALLENGE_FORM = ("id=\"challenge-form\"", "id='challenge-form'")
+CHALLENGE_FIELD, CHALLENGE_HOST = "cf-chl-", "challenges.cloudflare.com"
+CAPTCHA_MARKS = ("<title>captcha", "<title>verify", "verify you are human", "xác minh bạn là con người")
+RATE_MARKS = ("too many requests", "rate limit exceeded")
 
 
 def block_reason(html: Column | str, status: Column | str) -> Column:
     """Why a page is a block page and no content, or null.
 
     A page that merely loads a challenge script is not blocked; a challenge needs its title, its form
-    with its data, or a refusing status.
+    with its data, or a refusing status.  The whole page is searched.
     """
-    page = F.lower(F.substring(F.coalesce(F.col(html) if isinstance(html, str) else html, F.lit("")), 1, BLOCK_CHARS))
+    page = F.lower(F.coalesce(F.col(html) if isinstance(html, str) else html, F.lit("")))
     code = F.col(status) if isinstance(status, str) else status
 
     def has(*marks: str) -> Column:
         return functools.reduce(lambda a, b: a | b, [F.contains(page, F.lit(m)) for m in marks])
 
-    form = has("id=\"challenge-form\"", "id='challenge-form'")
-    challenge = has("<title>just a moment") | (has("cf-chl-") & form) | (F.coalesce(code.isin(403, 503), F.lit(False)) & has("challenges.cloudflare.com"))
+    refused = F.coalesce(code.isin(403, 503), F.lit(False))
+    challenge = has(CHALLENGE_TITLE) | (has(CHALLENGE_FIELD) & has(*CHALLENGE_FORM)) | (refused & has(CHALLENGE_HOST))
     return (
         F.when(challenge, "Cloudflare challenge")
-        .when(has("<title>captcha", "<title>verify", "verify you are human", "xác minh bạn là con người"), "CAPTCHA challenge")
-        .when(has("too many requests", "rate limit exceeded"), "rate-limit page")
+        .when(has(*CAPTCHA_MARKS), "CAPTCHA challenge")
+        .when(has(*RATE_MARKS), "rate-limit page")
         .when(code == 403, "HTTP 403 access denied")
     )
 

@@ -121,17 +121,16 @@ def retention_candidates(jobs: DataFrame, raw_objects: DataFrame, attempts: Data
     ago = lambda d: at - F.make_dt_interval(days=F.lit(d))
     gone = (F.col("reason") == "expired") & (F.col("expired_at") < ago(expired_days)) & (F.col("last_seen_at") < F.col("expired_at"))
     old = (F.col("reason") == "unknown") & (F.col("stored_at") < ago(unknown_days))
-    # complete scans of the current scope; those after a job's last sight are counted job by job
+    # complete scans of the current scope.  What those after some time amount to only shrinks as that
+    # time moves on, so one time a source says it all: objects last seen before it have been missed
     scans = runs.join(scopes.select("source", "scope_hash"), ["source", "scope_hash"], "left_semi").where(
         F.col("cdc_status").isin("baseline", "applied") & F.col("coverage_complete")
     ).select("source", F.col("started_at").alias("_began"), F.col("cdc_finished_at").alias("_ended"))
-    waiting = x.where(old).select("raw_object_id", "source", "last_seen_at")
-    missed = (
-        waiting.join(scans, "source").where(F.col("_began") > F.col("last_seen_at")).groupBy("raw_object_id")
-        .agg(F.count("*").alias("_n"), F.min("_ended").alias("_a"), F.max("_ended").alias("_b"))
-        .where((F.col("_n") >= 2) & (F.col("_b") - F.make_dt_interval(days=F.lit(7)) >= F.col("_a")))
-    )
-    return x.where(gone).unionByName(x.join(missed.select("raw_object_id"), "raw_object_id", "left_semi").select(*x.columns))
+    on = Window.partitionBy("source").orderBy(F.desc("_began")).rangeBetween(Window.unboundedPreceding, 0)
+    week = F.max("_ended").over(on) - F.make_dt_interval(days=F.lit(7)) >= F.min("_ended").over(on)
+    enough = scans.withColumn("_enough", (F.count("*").over(on) >= 2) & week).where("_enough")
+    missed = enough.groupBy("source").agg(F.max("_began").alias("_missed"))
+    return x.join(missed, "source", "left").where(gone | (old & (F.col("last_seen_at") < F.col("_missed")))).select(*x.columns)
 
 
 def within_budget(candidates: DataFrame, max_objects: int, max_bytes: int, per: str = "source") -> DataFrame:

@@ -69,8 +69,13 @@ def delete_missing(target: DataFrame, keep: DataFrame, keys: list[str]) -> tuple
 
 
 def latest(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key in ``order``; the planner limits groups before the shuffle."""
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    """The first row of each key in ``order``; the planner limits groups before the shuffle.
+
+    Where ``order`` ties, the smallest of the other columns decides, so that the row does not hang on
+    the partitioning; rows that tie in all of them are equal.  Maps, which have no order, take no part.
+    """
+    rest = [F.col(f.name) for f in rows.schema if f.name not in keys and "map<" not in f.dataType.simpleString()]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, *rest))
     return rows.withColumn("_place", place).where("_place = 1").drop("_place")
 
 

@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 AS_OF = datetime(2001, 7, 31, 12, 0, 0)
 TS = "TIMESTAMP '2001-07-31 12:00:00'"
 
+#: Id of a line: order, line, part and supplier, as order and line alone repeat.
+_LINE = "(l_orderkey * 10 + l_linenumber) * 1000000000 + l_partkey % 100000 * 10000 + l_suppkey % 10000"
+
 VIEWS: dict[str, str] = {
     "src": "SELECT CAST(n_nationkey AS BIGINT) AS id, concat('src', CAST(n_nationkey AS STRING)) AS code, concat('Source ', CAST(n_nationkey AS STRING)) AS display_name FROM nation WHERE n_nationkey < 9",
     "jobs": """
@@ -42,8 +45,8 @@ VIEWS: dict[str, str] = {
       SELECT o_orderkey + 1000000 AS id, CAST(o_custkey % 9 AS BIGINT) AS source_id, concat('https://site.example/job/', CAST(o_orderkey AS STRING)) AS canonical_url,
              o_orderkey AS crawler_job_id, o_orderdate AS first_seen_at, o_orderdate + INTERVAL '20' DAY AS last_seen_at
       FROM orders""",
-    "results": """
-      SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey + 1000000 AS source_posting_id, l_orderkey * 10 AS crawler_raw_object_id, l_orderkey AS job_id,
+    "results": f"""
+      SELECT {_LINE} AS id, l_orderkey + 1000000 AS source_posting_id, l_orderkey * 10 AS crawler_raw_object_id, l_orderkey AS job_id,
              CASE WHEN l_partkey % 6 = 0 THEN 'other' ELSE md5(CAST(l_orderkey AS STRING)) END AS raw_sha256, 'raw' AS raw_bucket, concat('key-', CAST(l_orderkey AS STRING)) AS raw_object_key,
              CASE l_returnflag WHEN 'A' THEN 'accepted' WHEN 'N' THEN 'partial' ELSE 'rejected' END AS quality_status,
              CAST(floor(l_quantity) * 2 AS INT) AS completeness_score, l_linenumber = 1 AS is_current, l_shipdate AS fetched_at,
@@ -55,14 +58,14 @@ VIEWS: dict[str, str] = {
              CASE WHEN l_partkey % 7 = 0 THEN '3 years' END AS experience_raw,
              CASE WHEN l_partkey % 8 > 4 THEN l_shipdate END AS posted_at, CASE WHEN l_partkey % 8 > 5 THEN l_shipdate + INTERVAL '30' DAY END AS expires_at
       FROM lineitem""",
-    "parse_attempts": """
-      SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS job_id, l_orderkey * 10 AS raw_object_id, 'page' AS parser_name,
+    "parse_attempts": f"""
+      SELECT {_LINE} AS id, l_orderkey AS job_id, l_orderkey * 10 AS raw_object_id, 'page' AS parser_name,
              concat('1.', CAST(l_linenumber % 2 AS STRING)) AS parser_version, l_linenumber AS attempt_number,
              CASE WHEN l_linestatus = 'O' AND l_partkey % 9 = 0 THEN 'parsing' WHEN l_returnflag = 'A' THEN 'success' WHEN l_returnflag = 'N' THEN 'validation_error' ELSE 'parse_error' END AS status,
              CASE WHEN l_returnflag = 'R' THEN 'ValueError' WHEN l_returnflag = 'N' THEN 'Missing' END AS error_type, l_shipdate AS started_at
       FROM lineitem""",
-    "fetch_attempts": """
-      SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS job_id, CASE WHEN l_returnflag = 'A' THEN 'success' WHEN l_returnflag = 'N' THEN 'fetch_error' ELSE 'blocked' END AS status,
+    "fetch_attempts": f"""
+      SELECT {_LINE} AS id, l_orderkey AS job_id, CASE WHEN l_returnflag = 'A' THEN 'success' WHEN l_returnflag = 'N' THEN 'fetch_error' ELSE 'blocked' END AS status,
              CASE WHEN l_returnflag = 'N' THEN 'timeout' END AS error_type, CASE WHEN l_returnflag = 'R' THEN 403 WHEN l_returnflag = 'A' THEN 200 END AS http_status, l_shipdate AS started_at
       FROM lineitem""",
     "runs": """

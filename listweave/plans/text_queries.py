@@ -120,7 +120,7 @@ _CODE = "CASE page_id % 3 WHEN 0 THEN 200 WHEN 1 THEN 403 ELSE 503 END"
 @query("quality_block_reason", f"""SELECT page_id, CASE WHEN page_id % 7 IN (0, 3) OR (page_id % 7 = 4 AND page_id % 3 > 0) THEN 'Cloudflare challenge' WHEN page_id % 7 = 1 THEN 'CAPTCHA challenge' WHEN page_id % 7 = 2 THEN 'rate-limit page'
   WHEN page_id % 3 = 1 THEN 'HTTP 403 access denied' END AS reason FROM pages""")
 def _(s, d):
-    return base(s, d, "pages").select("page_id", quality.block_reason(F.concat(F.expr(_PAGE), F.lit(" body")), F.expr(_CODE)).alias("reason"))
+    return base(s, d, "pages").select("page_id", quality.block_reason(F.concat(F.expr(_PAGE), F.lit(" body "), F.coalesce("html", F.lit(""))), F.expr(_CODE)).alias("reason"))
 
 
 @query("quality_accept_pages")

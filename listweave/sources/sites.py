@@ -68,13 +68,17 @@ def ld(*path: str) -> Place:
 
 
 def _plain(value: Any) -> str | None:
-    if value is None or value == "":
-        return None
-    if isinstance(value, str):
-        return H.text_of(H.parse(value)) if "<" in value else H.tidy(value)
-    if isinstance(value, dict) and isinstance(value.get("name"), str):
-        return H.tidy(value["name"])
-    return json.dumps(value, ensure_ascii=False, sort_keys=True)
+    """Readable text of a JSON value: markup gives its text, an object its name, anything else its JSON."""
+    match value:
+        case None | "":
+            return None
+        case {"name": str(text)}:
+            return H.tidy(text)
+        case str(text):
+            markup = "<" in text
+            return H.text_of(H.parse(text)) if markup else H.tidy(text)
+        case _:
+            return json.dumps(value, ensure_ascii=False, sort_keys=True)
 
 
 def ld_list(name: str) -> Place:
@@ -320,6 +324,8 @@ class Site:
     infos: tuple[tuple[str, str, str], ...] = ()
     version: str = "1.0.0"
     hydration: tuple[str, str] | None = None
+    #: What identifies a listing in its path; of several URLs of one listing the first counts.
+    listing_id: str = ""
 
 
 def page_links(selector: str) -> Callable[[H.Node, str], int | None]:
@@ -482,7 +488,7 @@ SITES: dict[str, Site] = {s.source: s for s in (
         "benefits_text": (lambda p: _after(p, "#job-benefit"),), "benefit_items": (lambda p: _after_items(p, "#job-benefit"),),
         "source_external_job_id": (url_part(r"^/tim-viec-lam/[^/]+/(\d+)/?$"),), "salary_raw": (css("#job-salary .text-primary"),),
         "employment_type_raw": (labelled("#job-summary .job-summary-item", ".summary-label", None, "Loại công việc"),), "experience_raw": (labelled("#job-summary .job-summary-item", ".summary-label", None, "Kinh nghiệm"),),
-    }, last_page=page_links(".pagination"), fixed_host=True, slash=False),
+    }, last_page=page_links(".pagination"), fixed_host=True, slash=False, listing_id=r"/(\d+)/?$"),
     Site("jobsgo", "jobsgo.vn", (".job-list .job-title a",), r"^/viec-lam/[^/]+-\d+\.html$", _LD_COMMON | {
         "title": (css("h1.job-title"),), "employer_name_raw": (css(".job-detail-card .card-company h6"), ld("hiringOrganization"), css(".card-company h6")),
         "description_text": (section(".job-detail-card h3.section-title", _DESCRIPTION),), "requirements_text": (section(".job-detail-card h3.section-title", _REQUIREMENTS),),
@@ -491,7 +497,7 @@ SITES: dict[str, Site] = {s.source: s for s in (
         "source_external_job_id": (url_part(r"-(\d+)\.html$"),), "salary_raw": (labelled(".text-muted", "", None, "Mức lương"),),
         "employment_type_raw": (labelled(".text-muted", "", None, "Loại hình"),), "experience_raw": (labelled(".text-muted", "", None, "Kinh nghiệm"),),
         "posted_at": (ld("datePosted"), day(labelled(".text-muted", "", None, "Ngày đăng tuyển"))), "expires_at": (ld("validThrough"), day(labelled(".text-muted", "", None, "Hạn nộp hồ sơ"))),
-    }, last_page=page_text("h1", r"([\d.,]+)\s*việc làm", 50), fixed_host=True),
+    }, last_page=page_text("h1", r"([\d.,]+)\s*việc làm", 50), fixed_host=True, listing_id=r"-(\d+)\.html$"),
 )}
 
 
@@ -565,19 +571,23 @@ def canonical_url(site: Site, url: str) -> str:
 
 
 def listing_urls(site: Site, page_html: str | None, url: str) -> list[str]:
-    """Canonical job URLs of a listing page, in order, each once; links to other hosts or paths do not count."""
+    """Canonical job URLs of a listing page, in order; links to other hosts or paths do not count.
+
+    Each comes once, and where the site says what identifies a listing, the first of each listing."""
     root = H.parse(page_html)
     found: list[str] = []
     if site.item_list:
         found = [u for o in H.json_ld(root) for u in H.item_list_urls(o)]
     for selector in site.listing_links:
         found += [n.attrs.get("href") or n.attrs.get("data-url") or "" for n in root.find_all(selector)]
-    out = []
+    out: dict[str, str] = {}
     for link in found:
         full = urljoin(url, link)
         if urlsplit(full).netloc.removeprefix("www.") == site.host.removeprefix("www.") and re.search(site.listing_path, urlsplit(full).path):
-            out.append(canonical_url(site, full))
-    return list(dict.fromkeys(out))
+            job = canonical_url(site, full)
+            own = re.search(site.listing_id, urlsplit(full).path) if site.listing_id else None
+            out.setdefault(own[1] if own else job, job)
+    return list(dict.fromkeys(out.values()))
 
 
 def _per_page(pages: DataFrame, schema: str, f: Callable[[Any], list[dict]], columns: list[str]) -> DataFrame:

@@ -71,24 +71,25 @@ def stale_attempts(stream: DataFrame, hours: int = 6) -> DataFrame:
     return timed.groupBy("job_id").applyInPandasWithState(step, "job_id long, started_at timestamp, status string", "began long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def scan_writer(store: TableStore, at: Column) -> Callable[[DataFrame, int], None]:
+def scan_writer(store: TableStore, at: Column, owner: str = "scan-stream") -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: each micro-batch holds finished scans (runs with their targets).
 
-    The batch's runs are judged against the stored state and all four tables move on together; a batch
-    that comes twice finds its runs no longer pending and changes nothing.
+    The batch's runs are judged against the stored state and all four tables move on together, through
+    the store's journal: a writer that dies has changed nothing or is carried to its end by the next.
+    A batch that comes twice finds its runs no longer pending and changes nothing.  ``owner`` names
+    the stream, which finds its own lock again after a crash.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         runs = batch.select("run.*").dropDuplicates(["id"])
         targets = batch.select(F.explode("targets").alias("t")).select("t.*").dropDuplicates(["run_id", "target_name"])
-        with store.locked("scans"):
+        with store.locked("scans", owner):
+            store.finish("scans")
             known = store.read("runs", schema=runs.schema)
             fresh = runs.join(known.select("id"), "id", "left_anti")
             out = apply_scans(store.read("jobs"), known.unionByName(fresh), targets, store.read("scopes"), at)
-            for name in ("runs", "scopes", "jobs"):
-                store.write(name, out[name])
             events = store.read("events", schema=out["events"].schema)
             new = out["events"].join(events.select("job_id", "run_id", "event_type"), ["job_id", "run_id", "event_type"], "left_anti")
-            store.write("events", events.unionByName(new))
+            store.write_together("scans", out | {"events": events.unionByName(new)})
 
     return write
 
