@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,12 +45,38 @@ def qualified(spark: SparkSession, path: str) -> str:
     return here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(here).toString()
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh name in the application's part of the shared folder."""
+    return f"{shared_dir(spark)}/listweave/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def storage(uri: str) -> tuple[fs.FileSystem, str]:
+    """Arrow's file system of a qualified path, for tasks that read and write files themselves."""
+    for given, known in (("s3a://", "s3://"), ("s3n://", "s3://"), ("file:///", "file:///"), ("file:/", "file:///")):
+        if uri.startswith(given):
+            uri = known + uri[len(given) :]
+            break
+    return fs.FileSystem.from_uri(uri)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back: the lineage ends there."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/listweave/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._scratch = path
+    return back
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` from which nothing that is still to be computed derives."""
+    for table in tables:
+        path = getattr(table, "_scratch", None)
+        if path:
+            spark = table.sparkSession
+            here = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(here, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

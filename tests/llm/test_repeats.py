@@ -82,22 +82,73 @@ def test_rolling_hash_is_local(data, k):
 
 @given(st.lists(st.binary(min_size=0, max_size=120), min_size=1, max_size=6))
 @settings(max_examples=60, deadline=None)
-def test_phrases_hold_every_window_once(parts):
+def test_passages_hold_every_window_once(parts):
     t = np.frombuffer(b"".join(parts), np.uint8)
     sizes = np.array([len(p) for p in parts])
-    first, count, _ = R.phrases(t, sizes, 20, 6)
+    first, count, _ = R.passages(t, sizes, 20, 6)
     windows = np.concatenate([np.arange(a, a + c) for a, c in zip(first, count)]) if len(first) else np.zeros(0, int)
     ends = sizes.cumsum()
     want = [p for e, n in zip(ends, sizes) for p in range(e - n, e - 20 + 1)]
     assert sorted(windows.tolist()) == want
 
 
-@pytest.mark.parametrize("length", [8, 9, 16, 20, 50, 64])
-def test_suffix_ranks(length):
-    rng = np.random.default_rng(length)
-    t = np.concatenate([rng.integers(0, 3, 300).astype(np.uint8), np.zeros(length, np.uint8)])
-    starts = np.arange(0, 300 - length)
-    rank = R.suffix_ranks(t, starts, length)
-    keys = [t[s : s + length].tobytes() for s in starts]
-    order = {k: i for i, k in enumerate(sorted(set(keys)))}
-    assert rank.tolist() == [order[k] for k in keys]
+@pytest.mark.parametrize("length", [5, 8, 9, 16, 20, 50, 64])
+@pytest.mark.parametrize("letters", [1, 2, 4, 250])
+@pytest.mark.parametrize("cut", [(8, 16), (3, 2), (2, 5), (4, 1)])
+def test_corpus_order(length, letters, cut):
+    """Windows come in the order of their text to its end, and runs are the equal ones."""
+    rng = np.random.default_rng(length * 1000 + letters)
+    base = [bytes(rng.integers(0, letters, int(rng.integers(1, 120))).astype(np.uint8)) for _ in range(6)]
+    words = [b"".join(base[i] for i in rng.integers(0, 6, int(rng.integers(1, 5)))) for _ in range(25)]
+    words = sorted({w for w in words if len(w) >= length}) or [bytes(length)]
+    order, run, text = R.runs(words, length, *cut)
+    places = [(w, p) for w in range(len(words)) for p in range(len(words[w]) - length + 1)]
+    assert [w for w, _ in places] == text.tolist() and sorted(order.tolist()) == list(range(len(places)))
+    seen = [words[places[i][0]][places[i][1] :] for i in order]
+    heads = [s[:length] for s in seen]
+    assert heads == sorted(heads)
+    want = np.cumsum([0] + [int(a != b) for a, b in zip(heads, heads[1:])])
+    assert run.tolist() == want.tolist()
+
+
+@given(st.lists(st.binary(min_size=1, max_size=80), min_size=1, max_size=5), st.integers(1, 6), st.integers(1, 8))
+@settings(max_examples=80, deadline=None)
+def test_parse(parts, gram, every):
+    """Phrases overlap by a gram and give the text back; inside a phrase there is no trigger."""
+    t, sizes = np.frombuffer(b"".join(parts), np.uint8), np.array([len(p) for p in parts])
+    begin, end, of = R.parse(t, sizes, gram, every)
+    whole = b"".join(parts)
+    for w, p in enumerate(parts):
+        own = [whole[a:b] for a, b in zip(begin[of == w], end[of == w])]
+        assert own[0] + b"".join(x[gram:] for x in own[1:]) == p
+    bodies = {whole[a:b] for a, b, last in zip(begin, end, np.append(of[1:] != of[:-1], True)) if not last}
+    assert not any(x != y and y.startswith(x) for x in bodies for y in bodies if len(x) > gram)
+
+
+def test_parse_ranks():
+    rng = np.random.default_rng(5)
+    phrase, of = rng.integers(0, 3, 200), np.sort(rng.integers(0, 9, 200))
+    rank = R.parse_ranks(phrase, of, 200)
+    keys = [phrase[i:][of[i:] == of[i]].tolist() for i in range(200)]
+    order = {tuple(k): i for i, k in enumerate(sorted(set(map(tuple, keys))))}
+    assert rank.tolist() == [order[tuple(k)] for k in keys]
+
+
+def test_a_frequent_anchor_is_split(spark, monkeypatch):
+    """One gram in all documents, with ever new surroundings, and some repeats among them."""
+    monkeypatch.setattr(R, "FREQUENT", 5)
+    rng = random.Random(6)
+    noise = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    shared = noise(40) + "0123456789abcdef" + noise(40)
+    rows = [(i, noise(60) + "0123456789abcdef" + noise(60) + (shared if i % 7 == 0 else "")) for i in range(120)]
+    check(spark, rows)
+
+
+def test_clashing_names(spark):
+    rows = [(1, "ab" * 60, 5, "k", "s", 1), (2, "x" + "ab" * 60, 5, "k", "s", 2)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _was_null int, _kept string, _spans string, c0 int")
+    whole = R.without_repeats(frame)
+    assert whole.columns == frame.columns
+    assert [tuple(r)[2:] for r in sorted(whole.collect())] == [(5, "k", "s", 1), (5, "k", "s", 2)]
+    cut = {r.doc_id: r for r in R.cut_repeats(frame).collect()}
+    assert cut[2]._n_removed == 120 and bytes(cut[2]._kept) == b"x" and cut[1]._was_null == 5
