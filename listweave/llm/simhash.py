@@ -36,23 +36,27 @@ BUCKET_ROWS = 4096
 SIGNATURE_COST, CANDIDATE_COST = 2e-6, 1e-8
 
 
-def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
-    """Fingerprint of UTF-8 bytes: a bit is set where over half of the shingles' XXH64 have it.
+def shingle_hashes(text: bytes, shingle: int = 4, seed: int = 42) -> np.ndarray:
+    """XXH64 of each shingle of UTF-8 bytes, repeats included.
 
     Words are runs of bytes other than \\x20 and \\x09-\\x0D, lower-cased in A-Z.  Fewer words than a
-    shingle: the whole sequence is the only shingle; no word: zero.
+    shingle: the whole sequence is the only shingle; no word: no shingle.
     """
     words = text.translate(LOWER).split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     digest = xxhash.xxh64_intdigest
     if len(words) <= shingle:
-        return digest(b" ".join(words), seed)
+        return np.array([digest(b" ".join(words), seed)], np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.concatenate([[0], ends[: len(words) - shingle]]).tolist()
     stops = (ends[shingle - 1 :] - 1).tolist()
-    h = np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts, stops, strict=True)), np.uint64, len(starts))
+    return np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts, stops, strict=True)), np.uint64, len(starts))
+
+
+def fingerprint_of(h: np.ndarray) -> int:
+    """A bit is set where over half of the hashes have it; zero without any."""
     counts = np.zeros(BITS, np.int64)
     for i in range(0, len(h), 4096):
         part = h[i : i + 4096].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -61,6 +65,11 @@ def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
 
 
+def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
+    """Fingerprint of UTF-8 bytes from the hashes of their shingles."""
+    return fingerprint_of(shingle_hashes(text, shingle, seed))
+
+
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fp) of every row; a null text counts as empty, so its fingerprint is zero."""
 

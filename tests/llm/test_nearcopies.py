@@ -2,6 +2,8 @@ import numpy as np
 
 import corpus_pipeline
 from listweave.llm import nearcopies as N
+from listweave.llm.blocks import described, packed, place
+from listweave.llm.common import text_bytes
 
 
 def words(text: str) -> set:
@@ -15,9 +17,37 @@ def test_prefix_of_similar_sets_meets_under_any_order():
         a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
         b = a[rng.permutation(len(a))[: -(-4 * len(a) // 5)]]
         b.sort()
-        hot = np.sort(rng.permutation(a)[: len(a) // 2])
-        rank = rng.permutation(len(hot))
-        assert set(N.prefix(a, hot, rank).tolist()) & set(N.prefix(b, hot, rank).tolist())
+        level = dict(zip(a.tolist(), rng.integers(1, 5, len(a)).tolist(), strict=True))
+        (x, at), (y, _) = (N.prefix(s, np.array([level[t] for t in s.tolist()])) for s in (a, b))
+        assert set(x.tolist()) & set(y.tolist()) and at.tolist() == list(range(len(x))) and len(x) == N.prefix_size(len(a))
+
+
+def test_prefix_leaves_out_what_no_other_document_has():
+    tokens, level = np.arange(10, dtype=np.uint64), np.array([3, 0, 1, 1, 1, 1, 1, 1, 1, 1])
+    got, at = N.prefix(tokens, level)
+    assert N.prefix_size(10) == 3 and got.tolist() == [2, 3] and at.tolist() == [1, 2]
+
+
+def test_shared_prefixes_equal_a_count(spark):
+    """Levels are exact: the elements that come back are those of the prefixes by the true counts."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{int(x)}" for x in rng.integers(0, 2, int(rng.integers(0, 40)))) for _ in range(50)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    blocks = packed(docs, "t")
+    sets = described(blocks, ["c0", "c1"], "node long, n int", lambda b: {"node": b.column(0), "n": [len(N.shingles(x)) for x in text_bytes(b, "c1")]})
+    rows = sets.select(place().alias("p"), "node", "n").collect()
+    own = {r.p: N.shingles(texts[r.node].encode()) for r in rows}
+    count = {}
+    for s in own.values():
+        for t in s.tolist():
+            count[t] = count.get(t, 0) + 1
+    want = set()
+    for p, s in own.items():
+        order = sorted(s.tolist(), key=lambda t: (int(np.log2(count[t])), t))
+        want |= {(p, t, i) for i, t in enumerate(order[: N.prefix_size(len(s))]) if count[t] > 1}
+    nodes = spark.createDataFrame([(r.p, r.n) for r in rows], "node long, n int")
+    got = {(r.node, r.token % (1 << 64), r["at"]) for r in N.shared_prefixes(blocks, nodes, 1).collect()}
+    assert got == want and want
 
 
 def test_stage_links_all_near_copies(spark):
@@ -51,3 +81,14 @@ def test_stage_links_all_near_copies(spark):
     rows = [(i, t, "en", "src0", len(t)) for i, t in zip(ids, texts, strict=True)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == want
+
+
+def test_one_of_a_repeated_id_and_all_without_one(spark, docs, no_docs):
+    kept = N.keep_one_copy(docs)
+    assert kept.columns == docs.columns
+    got = sorted((str(r.doc_id), r.text or "") for r in kept.collect())
+    assert [i for i, _ in got] == ["1", "3", "5", "7", "8", "None"]
+    rows = [(1, "a b c d e f"), (1, "u v w x y z"), (2, "u v w x y z"), (None, "a b c d e f")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(str(r.doc_id) for r in N.keep_one_copy(frame).collect()) == ["1", "None"]
+    assert N.keep_one_copy(no_docs).count() == 0
