@@ -122,8 +122,32 @@ def tasks(blocks: DataFrame) -> int:
 
 
 def spread(blocks: DataFrame, n: int | None = None) -> DataFrame:
-    """Block places (and what came with them) dealt over the tasks that will read the blocks."""
-    return blocks.repartition(n or tasks(blocks), "block")
+    """Block places (and what came with them) dealt over the tasks that will read the blocks.
+
+    By a hash of its own: by the block alone, the planner would take a join's partitions for it, which
+    adaptive execution merges by their small size.
+    """
+    return blocks.repartition(n or tasks(blocks), F.xxhash64("block"))
+
+
+class Reader:
+    """Reads blocks of one table in a task, with the file at hand kept open."""
+
+    def __init__(self, base: str):
+        self.system, self.folder = storage(base)
+        self.path, self.file = None, None
+
+    def read(self, path: str, start: int, size: int) -> pa.RecordBatch:
+        if path != self.path:
+            self.close()
+            self.path, self.file = path, self.system.open_input_file(f"{self.folder}/{path}")
+        table = pa.ipc.open_stream(self.file.read_at(size, start)).read_all().combine_chunks()
+        return table.to_batches()[0] if table.num_rows else pa.RecordBatch.from_pylist([], table.schema)
+
+    def close(self) -> None:
+        if self.file is not None:
+            self.file.close()
+        self.path, self.file = None, None
 
 
 def read_blocks(blocks: DataFrame, schema: str | StructType, f: Callable[[dict, pa.RecordBatch], Iterator[pa.RecordBatch]]) -> DataFrame:
@@ -134,22 +158,12 @@ def read_blocks(blocks: DataFrame, schema: str | StructType, f: Callable[[dict,
     base = qualified(blocks.sparkSession, blocks._files)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, folder = storage(base)
-        opened: dict = {}
+        reader = Reader(base)
         for batch in batches:
             for i in range(batch.num_rows):
                 asked = {n: c[i] for n, c in zip(batch.schema.names, batch.columns, strict=True)}
-                path = asked["path"].as_py()
-                if path not in opened:
-                    for file in opened.values():
-                        file.close()
-                    opened = {path: system.open_input_file(f"{folder}/{path}")}
-                data = opened[path].read_at(asked["size"].as_py(), asked["start"].as_py())
-                table = pa.ipc.open_stream(data).read_all().combine_chunks()
-                rows = table.to_batches()[0] if table.num_rows else pa.RecordBatch.from_pylist([], table.schema)
-                yield from f(asked, rows)
-        for file in opened.values():
-            file.close()
+                yield from f(asked, reader.read(*(asked[n].as_py() for n in ("path", "start", "size"))))
+        reader.close()
 
     arrow_limits(blocks.sparkSession)
     return blocks.mapInArrow(run, schema)

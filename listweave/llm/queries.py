@@ -141,21 +141,20 @@ FROM d
 
 
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from listweave.llm.topk import sparse_rows, top_k
+    from listweave.llm.topk import top_k, vector_rows
 
-    rows = sparse_rows(read_table(spark, sf_dir, "embeddings"))
-    return top_k(rows, rows.where("vec_id % 20 = 0"), 20)
+    return top_k(vector_rows(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0), 20)
 
 
 OP5_SQL = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS w FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS place, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS w FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.w, c.w) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+  SELECT q.place, q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.w, c.w) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.place <> c.place WHERE q.vec_id % 20 = 0
 ), r AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+  SELECT *, CAST(row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
