@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listweave.llm.common import map_rows, text_bytes
-from listweave.llm.sample import labelled_sample
+from listweave.llm.sample import labelled_sample, one_each
 from listweave.llm.stats import BASE, FEATURES, document_stats
 
 #: Labelled rows that the trees are fitted on, at most.
@@ -116,14 +116,17 @@ def _flat(nodes: list[list], roots: list[int], depth: int, base: float) -> Trees
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Trees:
-    """Trees for labels.quality, fitted on ``rows`` labelled documents at most (not held-out ones)."""
+    """Trees for labels.quality, fitted on ``rows`` labelled documents at most (not held-out ones).
+
+    Whole texts count, however long; of repeated rows of a document one counts; null texts are empty.
+    """
 
     def run(batch: pa.RecordBatch) -> dict:
         stats = [document_stats(x)[1] for x in text_bytes(batch)]
         return {"label": batch.column(2), "x": [list(s) for s in stats], "doc_id": batch.column(0)}
 
     sample = map_rows(labelled_sample(docs, labels, "quality", rows), "doc_id long, label int, x array<double>", run)
-    got = sample.toPandas().sort_values("doc_id", kind="stable")
+    got = one_each(sample).toPandas().sort_values("doc_id", kind="stable")
     x = np.array(got.x.tolist(), float).reshape(len(got), len(FEATURES))
     return fit_trees(x, got.label.to_numpy(float), np.array([MONOTONE.get(f, 0) for f in FEATURES]))
 
@@ -133,7 +136,8 @@ def quality_rules(docs: DataFrame, trees: Trees, threshold: float = THRESHOLD, d
 
     base_failed: under 10 words, or over a fifth of the words in repeated 5-word windows.  kept is
     false if base_failed, else score >= threshold.  A null or empty text has zeros and is not kept;
-    repeated rows and null ids each come back; an empty table gives an empty result.
+    whole texts count, however long; repeated rows and null ids each come back; an empty table gives an
+    empty result; further columns, whatever their names, take no part.
     """
 
     def run(batch: pa.RecordBatch) -> dict:

@@ -9,6 +9,7 @@ beyond what texts of the language that the model has not seen reach at its lengt
 from __future__ import annotations
 
 import functools
+import math
 import pickle
 import unicodedata
 from dataclasses import dataclass, field
@@ -22,8 +23,13 @@ from pyspark.sql import functions as F
 from listweave.llm.common import arrow_limits, held_out, map_rows, slices, written
 
 ORDER = 4
-#: Rows of each language that a model is fitted on, at most, and the longest text among them.
-FIT_ROWS, FIT_CHARS = 500, 30_000
+#: Rows of each language that a model is fitted on, at most, what of a longer text is used, and
+#: characters of all of them, so that a model is bounded however long the texts are.
+FIT_ROWS, FIT_CHARS, FIT_TOTAL = 500, 30_000, 1_000_000
+#: Bytes of all models together that the driver and the broadcast accept.
+MODEL_BYTES = 256 << 20
+#: Characters of the pieces from which the spread of short texts is estimated.
+PIECE = 40
 #: A text this many standard deviations beyond the usual cross-entropy is rejected.
 REJECT_SDS = 6.0
 #: Sharpness of the score; 1 would be odds for a single character.
@@ -195,23 +201,37 @@ def _fit_group(frame: pd.DataFrame, vocabulary: int) -> CharModel:
         middle = float(np.median(ce))
         model.mean = middle
         model.spread = max(0.1, 1.4826 * float(np.median(np.abs(ce - middle))))
-        model.spread_char = 2.0
+        # what a text's entropy scatters by beyond that because it is short, from pieces of those texts
+        cut = [t[i : i + PIECE] for t in rest for i in range(0, len(t), PIECE)][:20_000]
+        pe, n, _ = held.entropies(cut)
+        whole = n >= PIECE // 2
+        if whole.any():
+            off, n = np.abs(pe[whole, 0] - middle), n[whole]
+            scatter = (1.4826 * float(np.median(off))) ** 2 - model.spread**2
+            model.spread_char = math.sqrt(max(1.0, scatter * float(np.median(n))))
     return model
 
 
-def fit_languages(docs: DataFrame, rows: int = FIT_ROWS, chars: int = FIT_CHARS) -> Languages:
+def fit_languages(docs: DataFrame, rows: int = FIT_ROWS, chars: int = FIT_CHARS, total: int = FIT_TOTAL) -> Languages:
     """A model for each non-null lang of the rows that are not held out.
 
-    It rests on ``rows`` rows a language at most, those of the smallest id hashes with up to ``chars``
-    characters and at least one letter, so a model is bounded by ``rows * chars`` n-grams an order.
+    It rests on ``rows`` rows a language at most, with a letter and of the smallest id hashes; texts of
+    up to ``chars`` characters come first, and of longer ones, where those do not suffice, the first
+    ``chars`` are used, for fitting only.  Rows after the first count while their characters sum to
+    ``total`` at most, so a model is bounded by that many n-grams an order.  Of repeated rows of a
+    document in a language one counts.  More than ``MODEL_BYTES`` of models raise a ValueError.
     """
     spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
     usable = base.where(~held_out("doc_id") & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
-    usable = usable.where(F.col("text").rlike(r"\p{L}") & (F.length("text") <= chars))
+    usable = usable.withColumn("long", F.length("text") > chars).withColumn("text", F.substring("text", 1, chars)).where(F.col("text").rlike(r"\p{L}"))
     # rows of the smallest hashes: counts by slice of the hash order, coarse and then fine, say how far
     # to look in each language, so that no task orders a language's rows, however many there are
-    near = written(usable.select("doc_id", "lang", F.xxhash64(F.lit(13), "doc_id").alias("h")), "langid-ids")
+    own = F.xxhash64(F.lit(13), "doc_id")
+    first = F.lit(-(1 << 63)).cast("long")
+    h = F.when(F.col("long"), own.bitwiseAND((1 << 63) - 1)).otherwise(own.bitwiseOR(first))  # longer texts after all others
+    named = usable.select("doc_id", "lang", h.alias("h"), F.length("text").alias("n_chars"))
+    near = written(named.groupBy("doc_id", "lang").agg(F.min(F.struct("h", "n_chars")).alias("m")).select("doc_id", "lang", "m.*"), "langid-ids")
     for bits in (10, 20):
         upto = Window.partitionBy("lang").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
         sliced = near.withColumn("slice", F.shiftright("h", 64 - bits))
@@ -219,8 +239,10 @@ def fit_languages(docs: DataFrame, rows: int = FIT_ROWS, chars: int = FIT_CHARS)
         cuts = counts.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0))).where(F.col("before") < rows)
         cuts = cuts.groupBy("lang").agg(F.max("slice").alias("last"))
         near = sliced.join(F.broadcast(cuts), "lang").where("slice <= last").drop("slice", "last")  # cuts: a row a language
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    ids = near.withColumn("n", place).where(F.col("n") <= rows).select("doc_id", "lang").distinct()
+    line = Window.partitionBy("lang").orderBy("h", "doc_id")
+    upto = F.sum("n_chars").over(line.rowsBetween(Window.unboundedPreceding, 0))
+    placed = near.withColumns({"n": F.row_number().over(line), "upto": upto})
+    ids = placed.where((F.col("n") <= rows) & ((F.col("n") == 1) | (F.col("upto") <= total))).select("doc_id", "lang")
     vocabulary = 1024
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
@@ -228,7 +250,13 @@ def fit_languages(docs: DataFrame, rows: int = FIT_ROWS, chars: int = FIT_CHARS)
 
     arrow_limits(spark)
     sample = usable.join(F.broadcast(ids), ["doc_id", "lang"])  # ids: ``rows`` longs a language at most
-    got = sample.groupBy("lang").applyInPandas(fit, "lang string, model binary").collect()
+    # one text a document: partial minima of the partitions are all that meets
+    sample = sample.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    models = written(sample.groupBy("lang").applyInPandas(fit, "lang string, model binary"), "langid-models")
+    size = models.agg(F.coalesce(F.sum(F.octet_length("model")), F.lit(0)).alias("n")).first().n
+    if size > MODEL_BYTES:
+        raise ValueError(f"the models of all languages take {size} bytes, over {MODEL_BYTES}: lower FIT_TOTAL")
+    got = models.collect()
     got.sort(key=lambda r: r.lang)
     return Languages([r.lang for r in got], [pickle.loads(r.model) for r in got])
 
@@ -236,8 +264,10 @@ def fit_languages(docs: DataFrame, rows: int = FIT_ROWS, chars: int = FIT_CHARS)
 def languages_of(docs: DataFrame, found: Languages, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` of every row with _lang, _score and _rejected.
 
-    A null text or one without a letter is ``und``, 0, rejected; repeated rows each come back; an
-    empty table gives an empty result, and without any learned language all rows are ``und``.
+    A null text or one without a letter is ``und``, 0, rejected; whole texts count, however long;
+    repeated rows each come back; a tie goes to the language that sorts first; an empty table gives an
+    empty result, and without any learned language all rows are ``und``.  The results take the place of
+    columns in ``keep`` that have their names.
     """
     keep = ["doc_id"] if keep is None else keep
     spark = docs.sparkSession
@@ -257,10 +287,18 @@ def languages_of(docs: DataFrame, found: Languages, text: str = "text", keep: li
     given = docs.select(*[F.col(k).alias(f"c{i}") for i, k in enumerate(keep)], F.col(text).alias("t"))
     kinds = ", ".join(f"c{i} {given.schema[i].dataType.simpleString()}" for i in range(len(keep)))
     out = map_rows(given, f"{kinds}, _lang string, _score double, _rejected boolean", run)
-    return out.select(*[F.col(f"c{i}").alias(k) for i, k in enumerate(keep)], "_lang", "_score", "_rejected")
+    results = ("_lang", "_score", "_rejected")
+    return out.select(*[F.col(f"c{i}").alias(k) for i, k in enumerate(keep) if k not in results], *results)
 
 
 def known_languages(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose language is not rejected, with all their columns."""
+    """The rows of ``docs`` whose language is not rejected, with all their columns, whatever their names.
+
+    Rows with a null text or no letter go; null ids and langs, repeated rows and empty tables are as in
+    ``languages_of``.
+    """
     names = docs.columns
-    return languages_of(docs, fit_languages(docs), keep=names).where(~F.col("_rejected")).select(*names)
+    plain = docs.toDF(*[f"own{i}" for i in range(len(names))])
+    own = plain.columns
+    judged = languages_of(plain, fit_languages(docs), text=own[names.index("text")], keep=own)
+    return judged.where(~F.col("_rejected")).select(*own).toDF(*names)

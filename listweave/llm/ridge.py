@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listweave.llm.common import arrow_limits, map_rows, text_bytes, written
-from listweave.llm.sample import labelled_sample
+from listweave.llm.sample import labelled_sample, one_each
 from listweave.llm.stats import FEATURES, document_stats
 
 #: Labelled rows that the classifier is fitted on, at most.
@@ -75,27 +75,34 @@ def isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return t / n, np.maximum.accumulate((s + 0.5) / (n + 1))
 
 
+def solved(gram: np.ndarray, moment: np.ndarray, rows: int) -> np.ndarray:
+    """Weights of the ridge: the normal equations with the penalty of ``rows`` rows."""
+    return np.linalg.solve(gram + PENALTY * rows * np.eye(len(gram)), moment)
+
+
 def fit_ridge(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, parts: int = 12) -> Ridge:
-    """Classifier of labels.quality from ``rows`` labelled documents at most (not held-out ones)."""
+    """Classifier of labels.quality from ``rows`` labelled documents at most (not held-out ones).
+
+    Whole texts count, however long; of repeated rows of a document one counts; null texts are empty.
+    Rows are dealt and ordered by id and the parts are summed as decimals, so that a fit repeats bit
+    for bit.  Without rows apart for calibration the fitted ones serve.
+    """
     spark = docs.sparkSession
 
     def run(batch: pa.RecordBatch) -> dict:
         return {"doc_id": batch.column(0), "label": batch.column(2), "x": [list(document_stats(t)[1]) for t in text_bytes(batch)]}
 
-    seen = written(map_rows(labelled_sample(docs, labels, "quality", rows), "doc_id long, label int, x array<double>", run), "ridge-sample")
+    seen = written(one_each(map_rows(labelled_sample(docs, labels, "quality", rows), "doc_id long, label int, x array<double>", run)), "ridge-sample")
     d = len(FEATURES)
-    moments = seen.agg(
-        F.array(*[F.avg(F.col("x")[i]) for i in range(d)]).alias("m"),
-        F.array(*[F.stddev_pop(F.col("x")[i]) for i in range(d)]).alias("s"),
-        F.count("*").alias("n"),
-    ).first()
+    known = seen.toPandas().sort_values("doc_id")  # ``rows`` rows of statistics at most
+    values, labels_of = np.array(known.x.tolist(), float).reshape(-1, d), known.label.to_numpy()
     rng = np.random.default_rng(SEED)
     omega = rng.normal(size=(d, RANDOM_FEATURES)) / WIDTH
     phase = rng.uniform(0, 2 * np.pi, RANDOM_FEATURES)
     size = RANDOM_FEATURES + 1
-    if not moments.n:
+    if not len(known):
         return Ridge(np.zeros(d), np.ones(d), omega, phase, np.zeros(size), np.array([0.0]), np.array([0.5]))
-    mean, scale = np.array(moments.m), np.array(moments.s)
+    mean, scale = values.mean(0), values.std(0)
     scale[scale < 1e-9] = 1
 
     def normal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,25 +120,26 @@ def fit_ridge(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, parts: i
 
     arrow_limits(spark)
     fold = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(4))
-    part = seen.where(fold != 0).select("label", "x").repartition(parts).mapInArrow(normal, "i int, row array<double>")
-    sums = part.groupBy("i").agg(*[F.sum(F.col("row")[j]).alias(f"c{j}") for j in range(size + 1)]).toPandas().sort_values("i")
+    dealt = seen.where(fold != 0).repartition(parts, "doc_id").sortWithinPartitions("doc_id")
+    part = dealt.select("label", "x").mapInArrow(normal, "i int, row array<double>")
+    sums = part.groupBy("i").agg(*[F.sum(F.col("row")[j].cast("decimal(38,18)")).alias(f"c{j}") for j in range(size + 1)]).toPandas().sort_values("i")
     if len(sums):
-        m = sums.drop(columns="i").to_numpy()
-        weight = np.linalg.solve(m[:, :size] + PENALTY * moments.n * np.eye(size), m[:, size])
+        m = sums.drop(columns="i").astype(float).to_numpy()
+        weight = solved(m[:, :size], m[:, size], len(known))
     else:
         weight = np.zeros(size)
     ridge = Ridge(mean, scale, omega, phase, weight, np.array([0.0]), np.array([0.5]))
-    rest = seen.where(fold == 0).select("doc_id", "label", "x").toPandas().sort_values("doc_id", kind="stable")
-    if not len(rest):
-        rest = seen.select("doc_id", "label", "x").toPandas().sort_values("doc_id", kind="stable")
-    ridge.knots, ridge.levels = isotonic(ridge.raw(np.array(rest.x.tolist(), float)), rest.label.to_numpy())
+    apart = {r.doc_id for r in seen.where(fold == 0).select("doc_id").collect()}
+    rest = known.doc_id.isin(apart).to_numpy() if apart else np.ones(len(known), bool)
+    ridge.knots, ridge.levels = isotonic(ridge.raw(values[rest]), labels_of[rest])
     return ridge
 
 
 def quality_scores(docs: DataFrame, ridge: Ridge, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, score, predicted) of every row; a null text counts as empty and is scored as such.
 
-    Repeated rows and null ids each come back; an empty table gives an empty result.
+    Whole texts count, however long; repeated rows and null ids each come back; an empty table gives an
+    empty result; further columns, whatever their names, take no part.
     """
 
     def run(batch: pa.RecordBatch) -> dict:

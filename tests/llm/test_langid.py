@@ -118,3 +118,31 @@ def test_fit_ignores_held_out_rows(corpus, spark):
     a, b = L.fit_languages(corpus), L.fit_languages(changed)
     for x, y in zip(a.models, b.models):
         assert all((p == q).all() for o, r in zip(x.orders, y.orders) for p, q in zip(o, r))
+
+
+def test_fit_is_bounded_under_repeats(spark):
+    rng = random.Random(5)
+    rows = [(i, sentence("xx", rng, 30) if "xx" in VOWELS else "aa bb cc dd " * 5, "xx") for i in range(20)]
+    one = next(i for i in range(100, 200) if __import__("zlib").crc32(str(i).encode()) % 5)
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    hot = spark.range(50_000).selectExpr(f"{one}L AS doc_id", "'hot repeated words' AS text", "'xx' AS lang")
+    a, b = L.fit_languages(frame.unionByName(hot.limit(1))), L.fit_languages(frame.unionByName(hot))
+    assert all((x == y).all() for o, r in zip(a.models[0].orders, b.models[0].orders) for x, y in zip(o, r))
+
+
+def test_languages_with_long_texts_only_are_learnt(spark):
+    rows = [(i, ("abc " if i % 2 else "xyz ") * 400, "short" if i % 2 else "long") for i in range(40)]
+    found = L.fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"), chars=100)
+    assert found.names == ["long", "short"]
+
+
+def test_models_are_refused_beyond_their_bound(corpus, monkeypatch):
+    monkeypatch.setattr(L, "MODEL_BYTES", 10)
+    with pytest.raises(ValueError, match="FIT_TOTAL"):
+        L.fit_languages(corpus)
+
+
+def test_names_of_results_and_helpers_may_clash(spark):
+    frame = spark.createDataFrame([(1, "abc abc", "x", True, "q", 0.5)], "doc_id long, text string, lang string, _rejected boolean, c0 string, _score double")
+    assert L.known_languages(frame).columns == frame.columns
+    assert L.languages_of(frame, L.fit_languages(frame), keep=frame.columns).columns == ["doc_id", "text", "lang", "c0", "_lang", "_score", "_rejected"]

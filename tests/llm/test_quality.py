@@ -138,3 +138,53 @@ def test_held_out_matches_crc32(spark):
 
     rows = spark.range(200).select("id", held_out("id").alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in rows)
+
+
+def test_first_tree_makes_the_best_split():
+    """One round of depth one against every cut of every feature, by the same gain worked out directly."""
+    x, y = data()
+    x = np.round(x, 1)
+    t = gbt.fit_trees(x, y, np.zeros(x.shape[1]), rounds=1, depth=1, bins=10_000, min_rows=1)
+    p = 1 / (1 + np.exp(-t.base))
+    g, h = y - p, np.full(len(y), p * (1 - p))
+    gain = lambda s: g[s].sum() ** 2 / (h[s].sum() + 1)
+    best = max((gain(x[:, j] <= c) + gain(x[:, j] > c), -j, -c) for j in range(x.shape[1]) for c in np.unique(x[:, j])[:-1])
+    root = t.roots[0]
+    j, cut = t.feature[root], t.cut[root]
+    assert gain(x[:, j] <= cut) + gain(x[:, j] > cut) == pytest.approx(best[0], rel=1e-6)
+    for side, node in ((x[:, j] <= cut, t.left[root]), (x[:, j] > cut, t.right[root])):
+        assert t.value[node] == pytest.approx(0.2 * g[side].sum() / (h[side].sum() + 1))
+
+
+def test_ridge_equals_least_squares():
+    """The normal equations against a direct least-squares solution of the augmented system."""
+    rng = np.random.default_rng(5)
+    z, y = rng.normal(size=(200, 30)), rng.integers(0, 2, 200).astype(float)
+    direct = np.linalg.lstsq(np.vstack([z, np.sqrt(ridge.PENALTY * 200) * np.eye(30)]), np.concatenate([y, np.zeros(30)]), rcond=None)[0]
+    assert np.allclose(ridge.solved(z.T @ z, z.T @ y, 200), direct)
+
+
+def test_isotonic_equals_the_min_max_formula():
+    """Before smoothing, the level of a row is the largest of the smallest means of ranges around it."""
+    rng = np.random.default_rng(6)
+    for _ in range(20):
+        n = int(rng.integers(1, 30))
+        raw, y = np.sort(rng.normal(size=n)), rng.integers(0, 2, n)
+        want = [max(min(y[a : b + 1].mean() for b in range(i, n)) for a in range(i + 1)) for i in range(n)]
+        knots, levels = ridge.isotonic(raw, y)
+        edges = np.flatnonzero(np.diff(want, prepend=-1.0) > 1e-12)
+        sizes = np.diff(np.append(edges, n))
+        assert len(knots) == len(edges)
+        smooth = [(y[a : a + s].sum() + 0.5) / (s + 1) for a, s in zip(edges, sizes)]
+        assert np.allclose(levels, np.maximum.accumulate(smooth)) and np.allclose(knots, [raw[a : a + s].mean() for a, s in zip(edges, sizes)])
+
+
+def test_fits_repeat_and_are_bounded_under_repeated_rows(corpus, spark):
+    docs, labels = corpus
+    one = next(i for i in range(300) if __import__("zlib").crc32(str(i).encode()) % 5 and i not in (0, 7, 9))
+    text = docs.where(f"doc_id = {one}").first().text
+    hot = spark.range(50_000).selectExpr(f"{one}L AS doc_id").withColumn("text", __import__("pyspark.sql.functions", fromlist=["lit"]).lit(text))
+    a, b = ridge.fit_ridge(docs, labels), ridge.fit_ridge(docs.unionByName(hot).repartition(7), labels)
+    assert (a.weight == b.weight).all() and (a.levels == b.levels).all()
+    s, t = gbt.fit_quality(docs, labels), gbt.fit_quality(docs.unionByName(hot), labels)
+    assert (s.value == t.value).all() and (s.cut == t.cut).all()
