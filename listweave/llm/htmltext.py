@@ -10,11 +10,13 @@ structure and no vocabulary; training is seeded and takes some seconds, once a p
 
 from __future__ import annotations
 
+import bisect
 import functools
 import html
 import math
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,9 +33,12 @@ BATCH_BLOCKS = 8192
 
 # How HTML elements behave.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg select object math".split())
+RAW = frozenset("script style textarea title noscript template iframe svg select annotation annotation-xml".split())
+TO_THE_END = frozenset("script style textarea title".split())
+FOREIGN = frozenset("svg annotation annotation-xml".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark object q s samp small span strike strong sub sup time tt u var "
+    "math maction merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
@@ -41,7 +46,11 @@ CLOSES_P = frozenset(
 SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table nav aside article section main div body header footer form".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)", re.S)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_STOP = re.compile(r"[\"'>]")
+_CLOSING = re.compile(rf"</({'|'.join(sorted(RAW, key=len, reverse=True))})(?=[\s/>])[^<>]*>", re.I)
+#: Open elements at either end of a path that describe a block; of deeper ones those between are left.
+PATH_ENDS = 32
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _BYTE_HASH = np.random.default_rng(3).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -79,19 +88,126 @@ class Leaf:
     text: str
     path: tuple[tuple[str, ...], ...]
     link: float
+    depth: int = 0
+
+
+class Scanner:
+    """The markup of a page from front to back, in time linear in the page whatever it holds.
+
+    A tag ends at the first > that no quote holds, or at the first of all if a quote is not closed.
+    When looking for ends in vain has taken several times the page, quotes hold nothing any more.  A tag
+    that nothing ends, at the end of the page, is dropped, as browsers do.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last_end, self.patience = page, page.rfind(">"), 4 * len(page)
+        self.closings: dict[str, list[tuple[int, int]]] | None = None
+
+    def tag_end(self, at: int) -> int:
+        """Place of the > that ends the tag whose name ends at ``at``; one is there."""
+        page, first = self.page, at
+        while self.patience > 0:
+            m = _STOP.search(page, at)
+            if m is not None and m[0] == ">":
+                return m.start()
+            at = page.find(m[0], m.end()) + 1 if m is not None else 0
+            if not at:
+                self.patience -= len(page) - first
+                break
+        return page.find(">", first)
+
+    def marks(self) -> Iterator[tuple[str, str, bool, str, int, int]]:
+        """(text before, tag, whether it closes, attributes, start, end) of each mark; the last has no tag.
+
+        ``send`` a place to go on from there.
+        """
+        page, at, size = self.page, 0, len(self.page)
+        begun = 0
+        while True:
+            start = page.find("<", at)
+            if start < 0:
+                yield page[begun:], "", False, "", size, size
+                return
+            lead = page[start + 1 : start + 2]
+            closes = lead == "/"
+            name = _NAME.match(page, start + 1 + closes)
+            if name is not None:
+                if self.last_end < name.end():
+                    yield page[begun:start], "", False, "", size, size
+                    return
+                end = self.tag_end(name.end())
+                tag, attributes = name[0].lower(), page[name.end() : end]
+            elif lead in ("!", "?", "/"):
+                last = "-->" if page.startswith("<!--", start) else ">"
+                found = page.find(last, start + 4 if last == "-->" else start)
+                if found < 0:
+                    yield page[begun:start], "", False, "", size, size
+                    return
+                tag, attributes, end = "", "", found + len(last) - 1
+            else:
+                at = start + 1
+                continue
+            moved = yield page[begun:start], tag, closes, attributes, start, end + 1
+            at = begun = end + 1 if moved is None else moved
+            if moved is not None:
+                yield "", "", False, "", at, at
+
+    def after_raw(self, tag: str, at: int) -> int | None:
+        """Where the closing tag of a raw element ends, which begins at ``at``; None without one."""
+        if self.closings is None:
+            self.closings = {}
+            for m in _CLOSING.finditer(self.page):
+                self.closings.setdefault(m[1].lower(), []).append(m.span())
+        found = self.closings.get(tag, [])
+        i = bisect.bisect_left(found, (at, 0))
+        return found[i][1] if i < len(found) else None
+
+
+class Stack:
+    """Open elements, with the places of each tag and of scopes, so that no step walks down the stack."""
+
+    def __init__(self) -> None:
+        self.tags: list[str] = []
+        self.tokens: list[tuple[str, ...]] = []
+        self.places: dict[str, list[int]] = {}
+        self.scopes: list[int] = [-1]
+
+    def push(self, tag: str, tokens: tuple[str, ...]) -> None:
+        self.places.setdefault(tag, []).append(len(self.tags))
+        if tag in SCOPES:
+            self.scopes.append(len(self.tags))
+        self.tags.append(tag)
+        self.tokens.append(tokens)
+
+    def last(self, tag: str) -> int:
+        places = self.places.get(tag)
+        return places[-1] if places else -1
+
+    def cut(self, at: int) -> None:
+        """Close everything from place ``at`` on."""
+        for i in range(len(self.tags) - 1, at - 1, -1):
+            self.places[self.tags[i]].pop()
+            if self.scopes[-1] == i:
+                self.scopes.pop()
+        del self.tags[at:], self.tokens[at:]
+
+    def path(self) -> tuple[tuple[str, ...], ...]:
+        t = self.tokens
+        return tuple(t) if len(t) <= 2 * PATH_ENDS else (*t[:PATH_ENDS], *t[-PATH_ENDS:])
 
 
 def leaves(page: str) -> list[Leaf]:
     """The blocks of text of a page in page order.
 
     Comments, scripts, styles, titles and other raw elements hold no text; unclosed elements close as
-    browsers close them; character references are decoded and white space becomes one space.
+    browsers close them; character references are decoded and white space becomes one space.  Formulas
+    and objects are text of their block.  Time is linear in the page.
     """
     out: list[Leaf] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack = Stack()
     held: list[str] = []
     linked = 0
-    in_link = 0
+    in_link = False
 
     def flush() -> None:
         nonlocal held, linked
@@ -99,71 +215,47 @@ def leaves(page: str) -> list[Leaf]:
             raw = "".join(held)
             text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
             if text:
-                path = tuple(tokens for tag, tokens in stack if tag not in INLINE)
-                out.append(Leaf(text, path, min(1.0, linked / len(text))))
+                out.append(Leaf(text, stack.path(), min(1.0, linked / len(text)), len(stack.tags)))
             held, linked = [], 0
 
-    at, size = 0, len(page)
-    find = _TAG.search
-    while at < size:
-        m = find(page, at)
-        if m is None:
-            held.append(page[at:])
-            break
-        if m.start() > at:
-            piece = page[at : m.start()]
-            held.append(piece)
+    scanner = Scanner(page)
+    marks = scanner.marks()
+    for before, tag, closes, attributes, start, end in marks:
+        if before:
+            held.append(before)
             if in_link:
-                linked += len(piece)
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
+                linked += len(before)
         if not tag:
             continue
-        attributes = m[3] if m[2] else m[6]
-        if m[1] or m[4]:
+        if closes:
             if tag in INLINE:
-                if tag == "a" and in_link:
-                    in_link -= 1
+                in_link = in_link and tag != "a"
                 continue
             flush()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    if any(t == "a" for t, _ in stack[i:]):
-                        in_link = 0
-                    del stack[i:]
-                    break
-                if tag == "p" and stack[i][0] in SCOPES:
-                    break
+            at = stack.last(tag)
+            if at >= 0 and (tag != "p" or at > stack.scopes[-1]):
+                stack.cut(at)
             continue
         if tag in RAW:
-            if not attributes.rstrip().endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                if end is None and tag == "textarea" or end is None and tag in ("script", "style", "title"):
-                    at = size
-                elif end is not None:
-                    at = end.end()
+            if not (tag in FOREIGN and attributes.endswith("/")):
+                after = scanner.after_raw(tag, end)
+                if after is not None:
+                    marks.send(after)
+                elif tag in TO_THE_END:
+                    break
             continue
         if tag in INLINE:
-            if tag == "a":
-                in_link = 1
+            in_link = in_link or tag == "a"
             continue
         flush()
         if tag in VOID:
             continue
-        if tag in CLOSES_P:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p":
-                    del stack[i:]
-                    break
-                if stack[i][0] in SCOPES:
-                    break
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in SAME_CLOSES.get(tag, ()):
-                del stack[i:]
-                break
-            if stack[i][0] in SCOPES:
-                break
-        stack.append((tag, _tokens(tag, attributes)))
+        if tag in CLOSES_P and stack.last("p") > stack.scopes[-1]:
+            stack.cut(stack.last("p"))
+        same = max((stack.last(t) for t in SAME_CLOSES.get(tag, ())), default=-1)
+        if same > stack.scopes[-1]:
+            stack.cut(same)
+        stack.push(tag, _tokens(tag, attributes))
     flush()
     return out
 
@@ -175,7 +267,7 @@ def describe(blocks: list[Leaf]) -> np.ndarray:
         row[:PATH_DIMS] = _path_vector(b.path)
         words = b.text.count(" ") + 1
         stops = b.text.count(".") + b.text.count(",")
-        row[-MEASURES:] = (math.log1p(len(b.text)) / 5, b.link, stops / (words + 1), words < 4, len(b.path) / 8, b.text[-1] in ".!?")
+        row[-MEASURES:] = (math.log1p(len(b.text)) / 5, b.link, stops / (words + 1), words < 4, b.depth / 8, b.text[-1] in ".!?")
     out[:, PATH_DIMS : PATH_DIMS + WORD_DIMS] = word_vectors([b.text for b in blocks])
     return out
 
@@ -471,7 +563,8 @@ def extract(pages: DataFrame, network: Network | None = None) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages``.
 
     A null html is an empty page with empty text; repeated rows and null ids or urls each come back;
-    an empty table gives an empty result; whole pages are read, however long.
+    an empty table gives an empty result; whole pages are read, however long or deep, in linear time;
+    further columns, whatever their names, are left.
     """
     net = network or trained()
 

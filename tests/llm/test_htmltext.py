@@ -15,6 +15,10 @@ def texts(page):
     ("", []), ("plain", ["plain"]), ("<p>a<b>b</b> c<p>d", ["ab c", "d"]), ("<script>x<p>y</script><p>z", ["z"]), ("<!-- <p>x --><p>&lt;y&gt;&nbsp;&amp;\n z", ["<y> & z"]),
     ("<ul><li>a<li>b</ul>", ["a", "b"]), ("<p title='a>b'>c</p>", ["c"]), ("a < b and c > d", ["a < b and c > d"]), ("<div>a<!-- open", ["a"]), ("<td>x<td>y", ["x", "y"]),
     ("<title>t</title><style>s", []), ("<p>a<br>b", ["a", "b"]),
+    ("<p>Value is <math><mi>x</mi><mo>=</mo><msup><mn>2</mn><mn>3</mn></msup></math> and", ["Value is x=23 and"]), ("<p>see <object data=f><b>this</b></object>.</p>", ["see this."]),
+    ("<script src=a.js/>var x=1;</script><p>y", ["y"]), ("<script src=a.js/>var x=1;", []), ("<p>a<svg/>b", ["ab"]), ("<p>a<svg><text>x</text></svg>b", ["ab"]), ("<p>a</ x>b<?php z?>c<!doctype>d", ["abcd"]),
+    ("<p>a<math><semantics><mi>x</mi><annotation>\\x</annotation></semantics></math>", ["ax"]), ("<p>a<b title=\"x>c</b> d", ["ac d"]), ("<p>a<b title='x>y'>c</b><i title=\"p'>q\">d", ["acd"]), ("<p>a<b", ["a"]),
+    ("<p>a<p>b</section></p>c", ["a", "b", "c"]), ("<div>a</div></div></p><div>b", ["a", "b"]),
 ])
 def test_leaves(page, want):
     assert texts(page) == want
@@ -25,6 +29,25 @@ def test_paths_close_as_browsers_close():
     assert ["<article" in str(b.path) for b in blocks] == [True, True, False]
 
 
+@pytest.mark.parametrize("piece", ["<a ", "<div>", "<p>x", "<", "</p>", "<svg>", '<a "', '"><a "', "<b title='", "<!--", "</script ", "<script>", "<foo>y", "<x><p>", "<li>", "&", "&#", "<td><table>z"])
+def test_time_is_linear(piece):
+    """Two megabytes of what makes some parsers look again and again; the second is no slower than the first."""
+    import time
+
+    seconds = []
+    for size in (1_000_000, 2_000_000):
+        page = "<p><body>" + piece * (size // len(piece)) + ">"
+        began = time.perf_counter()
+        X.leaves(page)
+        seconds.append(time.perf_counter() - began)
+    assert seconds[1] < 10 and seconds[1] < 4 * seconds[0] + 0.5
+
+
+def test_deep_blocks_keep_their_ends():
+    blocks = X.leaves("<article>" + "<div>a" * 500)
+    assert len(blocks) == 500 and blocks[-1].depth == 501 and len(blocks[-1].path) == 2 * X.PATH_ENDS and "article" in blocks[-1].path[0][0]
+
+
 def test_gradients_equal_differences():
     rng = np.random.default_rng(0)
     net = X.Network(5, 4, 1)
