@@ -155,16 +155,24 @@ def read_blocks(blocks: DataFrame, schema: str | StructType, f: Callable[[dict,
 
     Texts are read where they are worked on, a block at a time.
     """
+    return read_all(blocks, schema, lambda found: (out for asked, rows in found for out in f(asked, rows)))
+
+
+def read_all(blocks: DataFrame, schema: str | StructType, f: Callable[[Iterator[tuple[dict, pa.RecordBatch]]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """As ``read_blocks``, with one call of ``f`` a task for all of its blocks."""
     base = qualified(blocks.sparkSession, blocks._files)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, pa.RecordBatch]]:
         reader = Reader(base)
         for batch in batches:
             for i in range(batch.num_rows):
                 asked = {n: c[i] for n, c in zip(batch.schema.names, batch.columns, strict=True)}
-                yield from f(asked, reader.read(*(asked[n].as_py() for n in ("path", "start", "size"))))
+                yield asked, reader.read(*(asked[n].as_py() for n in ("path", "start", "size")))
         reader.close()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return f(found(batches))
+
     arrow_limits(blocks.sparkSession)
     return blocks.mapInArrow(run, schema)
 

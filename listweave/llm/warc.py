@@ -1,9 +1,11 @@
 """WARC archives with Zstandard: a dictionary in a leading skippable frame, then a frame a record.
 
 Writing: pages with equal payloads are found by SHA-1 over the whole table; the one with the largest
-page_id becomes a response record, the others revisit it.  Each task writes archives of bounded size
-into a folder that all machines see, through pyarrow's file systems, under names that no other
-attempt uses; the manifest holds the names of finished archives, so files of lost tasks are ignored.
+page_id becomes a response record, the others revisit it.  Pages are packed into blocks first; digests
+and decisions travel, payloads are read where their records are written.  Each task writes archives of
+bounded size into a folder that all machines see, through Arrow's file systems, under names that no
+other attempt uses; the manifest holds the names of finished archives, so files of lost tasks are
+ignored.
 
 Reading: the dictionary comes from the leading skippable frame (which may itself be compressed);
 then one frame per record is decoded, and headers, lengths and digests are validated.
@@ -20,11 +22,11 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import zstandard
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listweave.llm.common import arrow_limits, qualified, shared_dir, written
+from listweave.llm.blocks import asked_rows, described, packed, read_all
+from listweave.llm.common import arrow_limits, qualified, scratch, storage, text_bytes, written
 
 # Fixed values of the formats.
 DICTIONARY_FRAME = 0x184D2A5D
@@ -199,23 +201,25 @@ def write_pages(pages: DataFrame, folder: str) -> DataFrame:
 
     A null html is an empty payload and a null url no target.  Of rows with equal payloads those of
     the largest page_id are responses and the others revisit it; a row with a null page_id is a
-    response, which none refers to.  An empty table writes no archive.
+    response, which none refers to.  Whole payloads count, however long; an empty table writes no
+    archive; further columns, whatever their names, are left.
     """
     spark = pages.sparkSession
     arrow_limits(spark)
-    html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
-    rows = rows.withColumn("sha1", F.sha1("html"))
-    kept = rows.select("sha1", "page_id").groupBy("sha1").agg(F.max("page_id").alias("keeper"))
-    own = F.col("page_id").isNull() | (F.col("page_id") == F.col("keeper"))
-    joined = rows.join(kept, "sha1").select(
-        "page_id", "url", F.octet_length("html").alias("size"), "sha1", F.when(own, F.col("html")).alias("payload"), F.when(~own, F.col("keeper")).alias("refers_to")
-    )
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    blocks = packed(rows, "warc-pages")
+
+    def digests(batch: pa.RecordBatch) -> dict:
+        return {"page_id": batch.column(0), "sha1": [hashlib.sha1(x).digest() for x in text_bytes(batch, "html")]}
+
+    own = written(described(blocks, rows.columns, "page_id long, sha1 binary", digests), "warc-digests")
+    kept = own.groupBy("sha1").agg(F.max("page_id").alias("keeper"))
+    response = F.col("page_id").isNull() | (F.col("page_id") == F.col("keeper"))
+    choice = own.join(kept, "sha1").select("block", "row", "sha1", F.when(~response, F.col("keeper")).alias("refers_to"))
     base = qualified(spark, folder)
-    base = base if "://" in base else base.replace("file:", "file://", 1)
 
     def save(records: list[bytes]) -> pa.RecordBatch:
-        system, path = fs.FileSystem.from_uri(base)
+        system, path = storage(base)
         name = f"{uuid.uuid4().hex}.warc.zst"
         data = write_archive(records)
         system.create_dir(path, recursive=True)
@@ -223,13 +227,16 @@ def write_pages(pages: DataFrame, folder: str) -> DataFrame:
             out.write(data)
         return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(records)], pa.int64()), pa.array([len(data)], pa.int64())], names=["name", "records", "bytes"])
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def write(batches: Iterator[tuple[dict, pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
         records: list[bytes] = []
         held = 0
-        for batch in batches:
-            for page_id, url, size, sha1, payload, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                digest = base64.b32encode(bytes.fromhex(sha1)).decode()
-                records.append(build_record(page_id, url, payload, size, digest, refers_to))
+        for asked, rows in batches:
+            payloads = text_bytes(rows, rows.schema.names[2])
+            for a in asked["asked"].as_py():
+                at, refers_to = a["row"], a["refers_to"]
+                digest = base64.b32encode(a["sha1"]).decode()
+                payload = payloads[at] if refers_to is None else None
+                records.append(build_record(rows.column(0)[at].as_py(), rows.column(1)[at].as_py(), payload, len(payloads[at]), digest, refers_to))
                 held += len(records[-1])
                 if held >= ARCHIVE_BYTES:
                     yield save(records)
@@ -237,7 +244,7 @@ def write_pages(pages: DataFrame, folder: str) -> DataFrame:
         if records:
             yield save(records)
 
-    return written(joined.mapInArrow(write, "name string, records long, bytes long"), "warc-manifest")
+    return written(read_all(asked_rows(blocks, choice, "sha1", "refers_to"), "name string, records long, bytes long", write), "warc-manifest")
 
 
 def read_pages(manifest: DataFrame, folder: str) -> DataFrame:
@@ -282,7 +289,7 @@ def read_pages(manifest: DataFrame, folder: str) -> DataFrame:
 def round_trip(pages: DataFrame) -> DataFrame:
     """Archive ``pages`` in the shared folder and read the archives back."""
     spark = pages.sparkSession
-    folder = f"{shared_dir(spark)}/listweave/{spark.sparkContext.applicationId}/warc-{uuid.uuid4().hex}"
+    folder = scratch(spark, "warc")
     manifest = write_pages(pages, folder)
     if manifest.isEmpty():
         return spark.createDataFrame([], "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
