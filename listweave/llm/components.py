@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listweave.llm.common import checkpointed
+from listweave.llm.common import checkpointed, ship
+
+#: Up to this many edges (two longs each) one task takes the rounds that are left.
+TASK_EDGES = 500_000
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -36,13 +42,23 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[other], nodes[label[other]]
 
 
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(u, v) stars of all edges of a task."""
+    parts = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows]
+    if parts:
+        u, v = forest(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        for i in range(0, len(u), 10_000):
+            yield pa.RecordBatch.from_arrays([pa.array(u[i : i + 10_000]), pa.array(v[i : i + 10_000])], names=["u", "v"])
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges(a, b)``; component is the smallest node reachable.
 
     Each round is a large-star and a small-star step; the edges halve their depth, so the rounds are
     about log2 of the longest path.  A hub's neighbours meet only in a partial minimum and in a join
-    that adaptive execution can split.  Self-loops and repeated edges are allowed; nulls drop out;
-    an empty input gives an empty result.
+    that adaptive execution can split.  Once no more than ``TASK_EDGES`` edges are there, one task takes
+    the rest of the rounds in memory.  Self-loops and repeated edges are allowed; nulls drop out; an
+    empty input gives an empty result.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     e = checkpointed(e.where("u is not null and v is not null and u <> v").distinct())
@@ -55,6 +71,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if not before[0]:
             break
+        if before[0] <= TASK_EDGES:
+            ship(edges.sparkSession)
+            e = checkpointed(e.select("u", "v").coalesce(1).mapInArrow(_whole, "u long, v long"))
+            break
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

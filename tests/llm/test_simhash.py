@@ -113,3 +113,14 @@ def test_keep_one(docs, no_docs):
     assert ids.count(1) == 1 and 2 not in ids and None in ids and 4 not in ids
     assert kept.where("doc_id = 1").select(F.length("text")).first()[0] == docs.where("doc_id = 1").select(F.length("text")).first()[0]
     assert S.keep_one(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("task_edges", [0, 20, 10**6])
+def test_components_in_rounds_and_in_one_task(spark, monkeypatch, task_edges):
+    from listweave.llm import components
+
+    monkeypatch.setattr(components, "TASK_EDGES", task_edges)
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, 105), (105, 101), (7, 7), (None, 3), (200, 201), (201, 200)]
+    got = components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    want = {i: 0 for i in range(41)} | {100: 100, 101: 100, 105: 100, 200: 200, 201: 200}
+    assert {r.node: r.component for r in got} == want and len(got) == len(want)
