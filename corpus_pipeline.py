@@ -24,27 +24,47 @@ PIPELINE_MIX = replace(CORPUS_MIX, share=(9, 10), epochs=1)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a known language; those that every language model rejects go."""
+    """Documents of a known language; those that every language model rejects go.
+
+    Null texts and texts without a letter are rejected; null ids, langs and sources stay as they are,
+    repeated rows each stay, a tie goes to the language that sorts first; empty tables stay empty.
+    """
     return known_languages(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (5-word Jaccard of 0.8 or more): the smallest doc_id."""
+    """One document of each group of near copies (5-word Jaccard of 0.8 or more): the smallest doc_id.
+
+    SimHash over five-word shingles proposes, whole sets verify, an exact prefix filter finds what lies
+    further apart.  Null and empty texts are equal to each other; of repeated rows of a doc_id one
+    stays; rows without a doc_id stay; empty tables stay empty.
+    """
     return keep_one_copy(docs)
 
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that an earlier document also holds."""
+    """Texts without the passages that an earlier document also holds.
+
+    Null texts stay null and rows without a doc_id stay whole; repeated rows of a doc_id leave each
+    other alone; a text that is all repeated becomes empty; empty tables stay empty.
+    """
     return without_repeats(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn to the target weights of domains, languages and sources."""
+    """Documents drawn to the target weights of domains, languages and sources.
+
+    Null langs and sources are ``unknown``, null texts have no tokens; repeated rows of a doc_id are
+    taken together, ties in the order go by doc_id; empty tables stay empty.
+    """
     return mixed_documents(docs, PIPELINE_MIX)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and decoded bytes of every document."""
+    """Token counts and digests of ids and decoded bytes of every document, however long.
+
+    Null texts are empty; repeated rows and null ids each come back; an empty table gives an empty result.
+    """
     return encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 

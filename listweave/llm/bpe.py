@@ -205,7 +205,7 @@ def encode_documents(
     the executors once.  A text of one chunk is encoded where it is read.  The distinct longer texts
     are dealt out a chunk a row, split in parallel, and stitched and encoded text by text.  A null
     text counts as empty; repeated rows and null ids each come back; an empty table gives an empty
-    result.  ``keep`` may hold any names but those of the results.
+    result.  The results take the place of columns in ``keep`` that have their names.
     """
     spark = docs.sparkSession
     arrow_limits(spark)
@@ -255,4 +255,4 @@ def encode_documents(
     long = dealt.groupBy("h").applyInPandas(join, f"h string, {results}")
     joined = hashed.drop("t").join(long, "h").select(*[f"c{i}" for i in range(n)], *names)
     out = direct.unionByName(joined)
-    return out.select(*[F.col(f"c{i}").alias(k) for i, k in enumerate(keep)], *names)
+    return out.select(*[F.col(f"c{i}").alias(k) for i, k in enumerate(keep) if k not in names], *names)

@@ -162,7 +162,12 @@ def mix_corpus(docs: DataFrame, mix: Mix = CORPUS_MIX) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, mix: Mix) -> DataFrame:
-    """The documents that the mix takes, with their columns, each as often as it is taken."""
+    """The documents that the mix takes, with their columns, each as often as it is taken.
+
+    A null text is one of no tokens, a null lang or source counts as ``unknown``.  Rows of a leaf with
+    one doc_id, or with none, share a place in its order and are taken together.  An empty table gives
+    an empty result; further columns come back, whatever their names.
+    """
     columns = docs.columns
     blocks = packed(docs, "mix-rows")
 
