@@ -31,6 +31,8 @@ from listweave.llm.simhash import fingerprint_of, link_forest, shingle_hashes
 SHINGLE, PART, WHOLE = 5, 4, 5
 #: Bits in which fingerprints of proposed pairs differ, at most.
 DISTANCE = 4
+#: Turns, at most, in which what shares an element is compared with one head of it, before the rest is.
+TURNS = 2
 #: Elements that a bucket counts, about; bits of an element's hash there beyond those of their number.
 BUCKET_TOKENS, SPARE_BITS = 1_000_000, 6
 
@@ -166,25 +168,35 @@ def near_copy_links(blocks: DataFrame, nodes: DataFrame, column: int) -> DataFra
     """Edges (a, b) whose components are those of all pairs of ``nodes(node, n, fp)`` with the similarity.
 
     Nodes are places in ``blocks`` of different sets.  First what fingerprints propose; then, for what
-    shares elements of prefixes and is not linked yet, each document with one head an element; then
-    what is still apart.  A large group of near copies is so linked by stars and not expanded into pairs.
+    shares elements of prefixes and is not linked yet, each document with one head an element, in
+    ``TURNS`` turns or until one finds nothing; then what is still apart.  A large group of near copies is so linked by stars, as
+    many as it has elements, and not expanded into pairs.
     """
     prints = written(nodes.groupBy("fp").agg(F.min("node").alias("rep")), "near-prints")
     equal = nodes.join(prints, "fp").where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
     proposed = written(link_forest(prints, DISTANCE).unionByName(equal).distinct(), "near-proposed")
     links = _verified(proposed, blocks, column, "near-links-0")
     shared = shared_prefixes(blocks, nodes.select("node", "n"), column)
-    left = _apart(shared, links)
-    heads = left.groupBy("token").agg(F.min_by("x", F.xxhash64("x.node")).alias("h"))
-    stars = left.join(heads, "token").where("x.component <> h.component").where(_may_match("x", "h"))
-    stars = written(stars.select(F.least("x.node", "h.node").alias("a"), F.greatest("x.node", "h.node").alias("b")).distinct(), "near-stars")
-    dropped(left)
-    links = written(links.unionByName(_verified(stars, blocks, column, "near-links-1")), "near-links-01")
+    tested = None
+    for turn in range(TURNS):
+        left = _apart(shared, links)
+        # first one head for most of a group's elements, then heads that differ from element to element
+        key = F.xxhash64("x.node") if not turn else F.xxhash64(F.lit(turn), "token", "x.node")
+        heads = left.groupBy("token").agg(F.min_by("x", key).alias("h"))
+        stars = left.join(heads, "token").where("x.component <> h.component").where(_may_match("x", "h"))
+        stars = stars.select(F.least("x.node", "h.node").alias("a"), F.greatest("x.node", "h.node").alias("b")).distinct()
+        stars = written(stars if tested is None else stars.join(tested, ["a", "b"], "left_anti"), "near-stars")
+        dropped(left)
+        found = _verified(stars, blocks, column, "near-links-some")
+        links = written(links.unionByName(found), "near-links-all")
+        tested = stars if tested is None else tested.unionByName(stars)
+        if found.isEmpty():
+            break
     left = _apart(shared, links)
     pairs = left.join(left.withColumnRenamed("x", "y"), "token").where("x.node < y.node and x.component <> y.component").where(_may_match("x", "y"))
-    pairs = written(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(stars, ["a", "b"], "left_anti"), "near-pairs")
+    pairs = written(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(tested, ["a", "b"], "left_anti"), "near-pairs")
     dropped(left, shared)
-    return written(links.unionByName(_verified(pairs, blocks, column, "near-links-2")), "near-links")
+    return written(links.unionByName(_verified(pairs, blocks, column, "near-links-last")), "near-links")
 
 
 def keep_one_copy(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
