@@ -28,6 +28,8 @@ ORDER = 4
 FIT_ROWS, FIT_CHARS, FIT_TOTAL = 500, 30_000, 1_000_000
 #: Bytes of all models together that the driver and the broadcast accept.
 MODEL_BYTES = 256 << 20
+#: Scatter of a single character's entropy, in nats, that a model assumes at least.
+LEAST_SCATTER = 2.0
 #: Characters of the pieces from which the spread of short texts is estimated.
 PIECE = 40
 #: A text this many standard deviations beyond the usual cross-entropy is rejected.
@@ -208,7 +210,7 @@ def _fit_group(frame: pd.DataFrame, vocabulary: int) -> CharModel:
         if whole.any():
             off, n = np.abs(pe[whole, 0] - middle), n[whole]
             scatter = (1.4826 * float(np.median(off))) ** 2 - model.spread**2
-            model.spread_char = math.sqrt(max(1.0, scatter * float(np.median(n))))
+            model.spread_char = max(LEAST_SCATTER, math.sqrt(max(0.0, scatter * float(np.median(n)))))
     return model
 
 
