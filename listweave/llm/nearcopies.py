@@ -7,6 +7,10 @@ element among the first n - ceil(0.8 n) + 1 of each, whatever the order of the e
 by how many documents have an element, counted exactly, so elements of one document come first and never
 leave it: a document that has a fifth of its shingles to itself meets no other.  Equal sets collapse
 before, and only sets of candidates travel.
+
+Sharing an element proposes many pairs within a large group of which few are similar enough, so each set also has
+a sketch, the parities of its elements in some classes: two sketches differ in no more bits than their sets
+differ in elements.  The join on an element compares sketches and lets through only what may have the similarity.
 """
 
 from __future__ import annotations
@@ -33,6 +37,8 @@ SHINGLE, PART, WHOLE = 5, 4, 5
 DISTANCE = 4
 #: Turns, at most, in which what shares an element is compared with one head of it, before the rest is.
 TURNS = 2
+#: Longs of a sketch: parities of a set's elements in 64 times as many classes.
+SKETCH = 16
 #: Elements that a bucket counts, about; bits of an element's hash there beyond those of their number.
 BUCKET_TOKENS, SPARE_BITS = 1_000_000, 6
 
@@ -54,6 +60,12 @@ def prefix(tokens: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return tokens[order[at]], at
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """Parities of the elements in each class of hashes: what two sets do not share changes a bit each, at most."""
+    odd = np.bincount((tokens % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH).astype(np.uint8) & 1
+    return np.packbits(odd).view("<i8")
+
+
 def _levels(frame: pd.DataFrame) -> pd.DataFrame:
     """For each block's elements in this bucket, the logarithm of the number of documents that have them."""
     values = [unpack_sorted(x) for x in frame["tokens"]]
@@ -84,10 +96,11 @@ def _dealt(sets: list[np.ndarray], bits: int, buckets: int) -> tuple[np.ndarray,
     return value[order], bucket[order], times[order], back[index]
 
 
-def shared_prefixes(blocks: DataFrame, nodes: DataFrame, column: int) -> DataFrame:
-    """(node, n, token, at): elements of prefixes that more than one of ``nodes(node, n)`` has.
+def node_prefixes(blocks: DataFrame, nodes: DataFrame, column: int) -> DataFrame:
+    """(node, n, bits, tokens, at), written: for each of ``nodes(node, n)`` the elements of its prefix that others have.
 
-    ``at`` is the element's position in the order of the set.  ``column`` is the text's in the blocks.
+    ``at`` holds the elements' positions in the order of the set, ``bits`` is the sketch of the whole
+    set; nodes without such elements are left out.  ``column`` is the text's in the blocks.
     """
     total = nodes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
     bits = min(64, math.ceil(math.log2(total + 2)) + SPARE_BITS)
@@ -114,23 +127,32 @@ def shared_prefixes(blocks: DataFrame, nodes: DataFrame, column: int) -> DataFra
         wanted, sets = _asked_sets(asked, rows, column)
         _, _, _, index = _dealt(sets, bits, buckets)
         level = np.frombuffer(b"".join(unsqueezed(k["levels"]) for k in asked["known"].as_py()), np.uint8)[index]
-        out: list[list] = [[], [], [], []]
+        out: list[list] = [[], [], [], [], []]
         for w, s, own in zip(wanted, sets, np.split(level, np.cumsum([len(s) for s in sets])[:-1]), strict=True):
             tokens, at = prefix(s, own)
             if len(tokens):
-                for held, value in zip(out, (w["node"], len(s), tokens.view(np.int64), at.astype(np.int32)), strict=True):
+                for held, value in zip(out, (w["node"], len(s), sketch(s), tokens.view(np.int64), at.astype(np.int32)), strict=True):
                     held.append(value)
         if out[0]:
-            kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["node", "n", "tokens", "at"])
+            kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["node", "n", "bits", "tokens", "at"])
 
     asking = with_files(blocks, spread(blocks.join(chosen, "block").join(known, "block"), n_tasks))
-    found = read_blocks(asking, "node long, n int, tokens array<long>, at array<int>", first)
-    out = written(found.select("node", "n", F.explode(F.arrays_zip("tokens", "at")).alias("x")).select("node", "n", F.col("x.tokens").alias("token"), "x.at"), "near-shared")
+    out = written(read_blocks(asking, "node long, n int, bits array<long>, tokens array<long>, at array<int>", first), "near-prefixes")
     dropped(chosen, levels)
     return out
 
 
+def _by_token(prefixes: DataFrame, *columns: str) -> DataFrame:
+    """One row an element: the ``columns`` of its node, ``token`` and ``at``."""
+    return prefixes.select(*columns, F.explode(F.arrays_zip("tokens", "at")).alias("x")).select(*columns, F.col("x.tokens").alias("token"), "x.at")
+
+
+def shared_prefixes(blocks: DataFrame, nodes: DataFrame, column: int) -> DataFrame:
+    """(node, n, token, at): elements of prefixes that more than one of ``nodes(node, n)`` has."""
+    return _by_token(node_prefixes(blocks, nodes, column), "node", "n")
+
+
 def _verified(pairs: DataFrame, blocks: DataFrame, column: int, name: str) -> DataFrame:
     """Those of the written ``pairs(a, b)`` whose whole sets have the similarity, written."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -150,18 +172,22 @@ def _verified(pairs: DataFrame, blocks: DataFrame, column: int, name: str) -> Da
 
 
 def _may_match(x: str, y: str) -> F.Column:
-    """False where sizes, or what is left of the sets at their first common element, rule the similarity out."""
+    """False where sizes, what is left of the sets at their first common element, or sketches rule the similarity out."""
+    apart = " + ".join(f"bit_count({x}.bits[{i}] ^ {y}.bits[{i}])" for i in range(SKETCH))
     return F.expr(
         f"{y}.n * {WHOLE} >= {x}.n * {PART} and {x}.n * {WHOLE} >= {y}.n * {PART} and least({x}.n - {x}.at, {y}.n - {y}.at) * {PART + WHOLE} >= ({x}.n + {y}.n) * {PART}"
+        f" and ({apart}) * {PART + WHOLE} <= ({x}.n + {y}.n) * {WHOLE - PART}"
     )
 
 
-def _apart(shared: DataFrame, links: DataFrame) -> DataFrame:
-    """(token, x) of ``shared`` where the documents of a token are not all linked yet; written."""
+def _apart(prefixes: DataFrame, links: DataFrame) -> DataFrame:
+    """(token, x) of ``prefixes`` where the documents of a token are not all linked yet; written."""
     found = connected_components(links)
-    named = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    tokens = named.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
-    return written(named.join(tokens, "token").select("token", F.struct("node", "n", "at", "component").alias("x")), "near-apart")
+    named = prefixes.select("node", "n", "tokens", "at").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    each = _by_token(named, "node", "n", "component")
+    tokens = each.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
+    left = each.join(tokens, "token").join(prefixes.select("node", "bits"), "node")
+    return written(left.select("token", F.struct("node", "n", "at", "component", "bits").alias("x")), "near-apart")
 
 
 def near_copy_links(blocks: DataFrame, nodes: DataFrame, column: int) -> DataFrame:
@@ -176,10 +202,10 @@ def near_copy_links(blocks: DataFrame, nodes: DataFrame, column: int) -> DataFra
     equal = nodes.join(prints, "fp").where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
     proposed = written(link_forest(prints, DISTANCE).unionByName(equal).distinct(), "near-proposed")
     links = _verified(proposed, blocks, column, "near-links-0")
-    shared = shared_prefixes(blocks, nodes.select("node", "n"), column)
+    prefixes = node_prefixes(blocks, nodes.select("node", "n"), column)
     tested = None
     for turn in range(TURNS):
-        left = _apart(shared, links)
+        left = _apart(prefixes, links)
         # first one head for most of a group's elements, then heads that differ from element to element
         key = F.xxhash64("x.node") if not turn else F.xxhash64(F.lit(turn), "token", "x.node")
         heads = left.groupBy("token").agg(F.min_by("x", key).alias("h"))
@@ -192,10 +218,10 @@ def near_copy_links(blocks: DataFrame, nodes: DataFrame, column: int) -> DataFra
         tested = stars if tested is None else tested.unionByName(stars)
         if found.isEmpty():
             break
-    left = _apart(shared, links)
+    left = _apart(prefixes, links)
     pairs = left.join(left.withColumnRenamed("x", "y"), "token").where("x.node < y.node and x.component <> y.component").where(_may_match("x", "y"))
     pairs = written(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(tested, ["a", "b"], "left_anti"), "near-pairs")
-    dropped(left, shared)
+    dropped(left, prefixes)
     return written(links.unionByName(_verified(pairs, blocks, column, "near-links-last")), "near-links")
 
 

@@ -28,6 +28,28 @@ def test_prefix_leaves_out_what_no_other_document_has():
     assert N.prefix_size(10) == 3 and got.tolist() == [2, 3] and at.tolist() == [1, 2]
 
 
+def test_sketches_differ_in_no_more_bits_than_sets_in_elements():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 30, 400, 5_000):
+        a, b = (np.unique(rng.integers(0, 2 * n + 1, n).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for _ in range(2))
+        x, y = N.sketch(a), N.sketch(b)
+        assert len(x) == N.SKETCH and N.sketch(a).tolist() == x.tolist()
+        assert int(np.bitwise_count((x ^ y).view(np.uint64)).sum()) <= len(np.setxor1d(a, b))
+
+
+def test_pairs_of_the_similarity_pass_the_comparison_of_sketches(spark):
+    """Right at the bound: 4 of 5 elements shared passes, sets that share far less do not."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for i, (same, own) in enumerate([(8, 1), (80, 10), (800, 100), (80, 60), (200, 150)]):
+        all_ = np.unique(rng.integers(0, 1 << 62, same + 2 * own).astype(np.uint64))
+        a, b = all_[: same + own], np.concatenate([all_[:same], all_[same + own :]])
+        rows.append((i, *({"n": len(s), "at": 0, "bits": N.sketch(s).tolist()} for s in (a, b))))
+    kind = "struct<n:int,at:int,bits:array<long>>"
+    got = spark.createDataFrame(rows, f"i int, x {kind}, y {kind}").where(N._may_match("x", "y"))
+    assert sorted(r.i for r in got.collect()) == [0, 1, 2]
+
+
 def test_shared_prefixes_equal_a_count(spark):
     """Levels are exact: the elements that come back are those of the prefixes by the true counts."""
     rng = np.random.default_rng(4)
