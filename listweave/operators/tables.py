@@ -54,6 +54,16 @@ def upsert_changed(target: DataFrame, rows: DataFrame, keys: list[str], stamp: s
     return rest.unionByName(fresh, allowMissingColumns=True)
 
 
+def upsert_where(target: DataFrame, rows: DataFrame, keys: list[str], where: Column) -> DataFrame:
+    """Upsert in which a row that is there changes only under ``where``, over its columns and the new
+    ones (prefix ``new_``); a condition that is null holds no change.  One full join."""
+    values = [c for c in rows.columns if c not in keys]
+    renamed = rows.select(*keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"new_{c}") for c in values])
+    joined = target.withColumn("_there", F.lit(True)).join(renamed, keys, "full")
+    hit = F.coalesce(F.col("_hit") & (F.col("_there").isNull() | where), F.lit(False))
+    return joined.select(*[F.when(hit, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in target.columns])
+
+
 def update_from(target: DataFrame, rows: DataFrame, keys: list[str], columns: list[str], where: Column | None = None) -> DataFrame:
     """Columns of matching rows replaced by those of ``rows`` (prefix ``new_`` in ``where``)."""
     renamed = rows.select(*keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"new_{c}") for c in columns])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from listweave.plans import serving_queries, state_queries, text_queries  # noqa: F401  they register themselves
+from listweave.plans import checking_queries  # noqa: F401  after the queries whose SQL it takes up
 from listweave.plans.register import QUERIES, Query
 
 

@@ -171,7 +171,7 @@ def _(s, d):
     return quality.assess(sites.extract(_job_pages(s, d))).groupBy("source", "quality_status").agg(F.count("*").alias("records"), F.round(F.avg("completeness_score"), 2).alias("average_score"))
 
 
-@query("extract_listing_urls")
+@query("extract_listing_urls", "SELECT 'topdev' AS source, 'https://topdev.vn/list' AS listing_url, 0 AS position, 'https://topdev.vn/detail-jobs/' || page_id AS job_url FROM pages")
 def _(s, d):
     link = F.concat(F.lit('<a href="/detail-jobs/'), F.col("page_id").cast("string"), F.lit('?src=x">a</a><a href="/about">b</a>'))
     return sites.discover(base(s, d, "pages").select(F.lit("topdev").alias("source"), F.lit("https://topdev.vn/list").alias("url"), F.concat(link, "html").alias("html")))
