@@ -24,8 +24,9 @@ from listweave.sources import sites
   FROM asked LEFT JOIN told USING (request, job_id)""")
 def _(s, d):
     asked = base(s, d, "events").select(F.col("user_id").alias("request"), F.col("event_id").alias("job_id"))
-    answers = asked.where("job_id % 7 > 0")
-    answers = answers.unionByName(answers.where("job_id % 11 = 0")).unionByName(asked.where("job_id % 997 = 0").withColumn("job_id", -F.col("job_id") - 1))
+    # an answer that does not come, or comes once only, is one to no request
+    told = lambda where, job: asked.select(F.when(F.expr(where), F.col("request")).alias("request"), F.expr(job).alias("job_id"))
+    answers = told("job_id % 7 > 0", "job_id").unionByName(told("job_id % 7 > 0 and job_id % 11 = 0", "job_id")).unionByName(told("job_id % 997 = 0", "-job_id - 1"))
     return enrichment.batch_outcomes(asked, answers)
 
 
@@ -84,16 +85,16 @@ def _(s, d):
 
 
 @query("table_upsert_where", """
-  WITH old AS (SELECT object_key, content_sha256, purged_at FROM raw_objects), new AS (SELECT CASE WHEN job_id % 10 = 0 THEN 'new-' || object_key ELSE object_key END AS object_key, CASE WHEN job_id % 2 = 0 THEN md5(object_key) ELSE content_sha256 END AS content_sha256 FROM raw_objects WHERE job_id % 3 <> 0)
+  WITH old AS (SELECT object_key, content_sha256, purged_at FROM raw_objects), new AS (SELECT CASE WHEN job_id % 10 = 0 OR job_id % 3 = 0 THEN 'new-' || object_key ELSE object_key END AS object_key, CASE WHEN job_id % 2 = 0 THEN md5(object_key) ELSE content_sha256 END AS content_sha256 FROM raw_objects)
   SELECT coalesce(o.object_key, n.object_key) AS object_key, CASE WHEN n.object_key IS NULL OR (o.object_key IS NOT NULL AND purged_at IS NULL AND n.content_sha256 = o.content_sha256) THEN o.content_sha256 ELSE n.content_sha256 END AS content_sha256,
     CASE WHEN n.object_key IS NULL THEN o.purged_at END AS purged_at, NOT (n.object_key IS NULL OR (o.object_key IS NOT NULL AND purged_at IS NULL AND n.content_sha256 = o.content_sha256)) AS touched
   FROM old o FULL JOIN new n ON o.object_key = n.object_key""", ("raw_objects",))
 def _(s, d):
     raw, k = view(s, d, "raw_objects"), F.col("job_id")
     old = raw.select("object_key", "content_sha256", "purged_at", F.lit(False).alias("touched"))
-    key = F.when(k % 10 == 0, F.concat(F.lit("new-"), "object_key")).otherwise(F.col("object_key"))
+    key = F.when((k % 10 == 0) | (k % 3 == 0), F.concat(F.lit("new-"), "object_key")).otherwise(F.col("object_key"))
     sha = F.when(k % 2 == 0, F.md5(F.col("object_key").cast("binary"))).otherwise(F.col("content_sha256"))
-    new = raw.where("job_id % 3 <> 0").select(key.alias("object_key"), sha.alias("content_sha256"), F.lit(None).cast(raw.schema["purged_at"].dataType).alias("purged_at"), F.lit(True).alias("touched"))
+    new = raw.select(key.alias("object_key"), sha.alias("content_sha256"), F.lit(None).cast(raw.schema["purged_at"].dataType).alias("purged_at"), F.lit(True).alias("touched"))
     return tables.upsert_where(old, new, ["object_key"], F.col("purged_at").isNotNull() | (F.col("new_content_sha256") != F.col("content_sha256")))
 
 
