@@ -166,7 +166,7 @@ def test_assess(spark, change, status, score):
 
 @pytest.mark.parametrize("page,code,want", [
     ("<title>Just a moment...</title>", 200, "Cloudflare challenge"), ("challenges.cloudflare.com", 200, None), ("challenges.cloudflare.com", 403, "Cloudflare challenge"), ("cf-chl-x", 200, None), ("Verify you are human", 200, "CAPTCHA challenge"),
-    ("Too many requests", 429, "rate-limit page"), ("x", 403, "HTTP 403 access denied"), ("x" * 200_001 + "rate limit exceeded", 200, None), (None, None, None),
+    ("Too many requests", 429, "rate-limit page"), ("x", 403, "HTTP 403 access denied"), ("x" * 200_001 + "rate limit exceeded", 200, "rate-limit page"), (None, None, None),
 ])
 def test_block_reason(spark, page, code, want):
     assert spark.createDataFrame([(page, code)], "h string, c int").select(quality.block_reason("h", "c")).first()[0] == want
