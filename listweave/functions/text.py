@@ -43,6 +43,20 @@ def strip_accents(x: Text) -> Column:
     return F.regexp_replace(out, r"\p{M}+", "")
 
 
+@functools.cache
+def plain_tables(marks: bool) -> tuple[str, str]:
+    """``fold_tables`` with the capital sigma, whose small form would depend on its place in a word, and, if
+    ``marks``, with the combining marks, which have no counterpart and go; the JVM's own list of them is older."""
+    source, target = fold_tables()
+    gone = (c for c in map(chr, range(0x110000)) if unicodedata.category(c)[0] == "M") if marks else ()
+    return source + "Σ" + "".join(gone), target + "σ"
+
+
+def plain_form(x: Text, marks: bool = True) -> Column:
+    """Lower case without accents and, if ``marks``, combining marks; only ß becomes two letters, null stays null."""
+    return F.lower(F.replace(F.translate(_col(x), *plain_tables(marks)), F.lit("ß"), F.lit("ss")))
+
+
 def blank_to_null(x: Text) -> Column:
     """The trimmed text, or null where nothing is left."""
     return F.nullif(F.trim(_col(x)), F.lit(""))
