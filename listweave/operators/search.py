@@ -8,14 +8,14 @@ run inside the scan; no index is needed, and the optimiser sees plain predicates
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listweave.functions.text import TECHNOLOGY_NAMES, fold_tables, search_form
+from listweave.functions.text import TECHNOLOGY_NAMES, fold_tables, once, search_form
 from listweave.vocabulary import EXPERIENCE_BUCKETS, SENIORITY, WORK_MODES
 
 # Weights of title/skills and of employer/categories, and the sum of 1/n^2.
@@ -32,16 +32,27 @@ class InvalidFilter(ValueError):
 # -- lexemes ---------------------------------------------------------------------------------------
 
 
-def lexemes(text: Column) -> Column:
-    """Words of a text in order; a hyphenated word is followed by its parts."""
-    words = F.regexp_extract_all(search_form(text), F.lit(f"({_WORDS})"), 1)
+def lexemes(text: Column, form: Callable[[Column], Column] = search_form) -> Column:
+    """Words of a text's ``form`` in order; a hyphenated word is followed by its parts."""
+    words = F.regexp_extract_all(form(text), F.lit(f"({_WORDS})"), 1)
     return F.flatten(F.transform(words, lambda w: F.when(F.contains(w, F.lit("-")), F.concat(F.array(w), F.split(w, "-"))).otherwise(F.array(w))))
 
 
+def _joined_texts() -> tuple[Column, Column]:
+    joined = lambda head, tail: F.concat(F.coalesce(F.col(head), F.lit("")), F.lit(" "), F.coalesce(F.array_join(tail, " "), F.lit("")))
+    return joined("title", "skills_raw"), joined("employer_name_raw", "categories_raw")
+
+
 def with_lexemes(jobs: DataFrame) -> DataFrame:
     """``jobs`` with lex_a (title, skills) and lex_b (employer, categories)."""
-    joined = lambda head, tail: F.concat(F.coalesce(F.col(head), F.lit("")), F.lit(" "), F.coalesce(F.array_join(tail, " "), F.lit("")))
-    return jobs.withColumns({"lex_a": lexemes(joined("title", "skills_raw")), "lex_b": lexemes(joined("employer_name_raw", "categories_raw"))})
+    a, b = _joined_texts()
+    return jobs.withColumns({"lex_a": lexemes(a), "lex_b": lexemes(b)})
+
+
+def with_lexemes_of(jobs: DataFrame, form: Callable[[Column], Column]) -> DataFrame:
+    """``with_lexemes`` in another normal form; the generator makes each row's lexemes one time."""
+    a, b = _joined_texts()
+    return jobs.select("*", F.inline(F.array(F.struct(lexemes(a, form).alias("lex_a"), lexemes(b, form).alias("lex_b")))))
 
 
 def python_search_form(text: str) -> str:
@@ -192,14 +203,15 @@ def _operands(node) -> list[Term]:
     return [t for n in node.nodes for t in _operands(n)]
 
 
-def _hits(t: Term) -> Column:
-    """(position, weight) of a term in both arrays, positions running on from one to the other."""
+def _hits(t: Term, positions: int | None) -> Column:
+    """(position, weight) of a term in both arrays, positions running on from one to the other; those past
+    ``positions``, if given, count as that one."""
     def of(name: str, weight: float, shift: Column) -> Column:
         at = F.transform(name, lambda x, i: F.struct((i + 1 + shift).cast("int").alias("p"), F.lit(weight).alias("w"), x.alias("x")))
         return F.filter(at, lambda s: F.startswith(s["x"], F.lit(t.lexeme)) if t.prefix else s["x"] == t.lexeme)
 
     both = F.concat(of("lex_a", WEIGHT_A, F.lit(0)), of("lex_b", WEIGHT_B, F.size("lex_a")))
-    return F.transform(both, lambda s: F.struct(F.least(s["p"], F.lit(MAX_POSITIONS)).alias("p"), s["w"].alias("w")))
+    return F.transform(both, lambda s: F.struct((F.least(s["p"], F.lit(positions)) if positions else s["p"]).alias("p"), s["w"].alias("w")))
 
 
 def _rank_single(hits: Column) -> Column:
@@ -213,26 +225,35 @@ def _rank_single(hits: Column) -> Column:
 def _rank_pairs(all_hits: list[Column]) -> Column:
     """Nearness of the operands: each pair of places counts by weight and distance, joined as
     independent chances."""
-    def between(one: Column, other: Column) -> Column:
-        return F.flatten(F.transform(one, lambda a: F.transform(other, lambda b: F.struct(F.abs(a["p"] - b["p"]).alias("d"), (a["w"] * b["w"]).alias("w")))))
+    def miss(a: Column, b: Column) -> Column:
+        d = F.abs(a["p"] - b["p"])
+        chance = F.sqrt(a["w"] * b["w"] * F.when(d > 100, 1e-30).otherwise(F.lit(1.0) / (F.lit(1.005) + F.lit(0.05) * F.exp(d / 1.5 - 2))))
+        return F.when(d > 0, 1 - chance).otherwise(1.0)
 
-    pairs = [between(all_hits[i], all_hits[k]) for i in range(len(all_hits)) for k in range(i)]
-    near = F.filter(F.concat(*pairs), lambda s: s["d"] > 0)
-    chance = F.transform(near, lambda s: F.sqrt(s["w"] * F.when(s["d"] > 100, 1e-30).otherwise(F.lit(1.0) / (F.lit(1.005) + F.lit(0.05) * F.exp(s["d"] / 1.5 - 2)))))
-    joined = F.aggregate(chance, F.lit(-1.0), lambda r, c: F.when(r < 0, c).otherwise(1 - (1 - r) * (1 - c)))
-    return F.when(joined < 0, 1e-20).otherwise(joined)
+    def missed(hits: Column) -> Column:
+        # pairs are counted as they are met: an array of them would have the product of both lengths
+        out = F.lit(1.0)
+        for i in range(len(all_hits)):
+            for k in range(i):
+                other = F.get(hits, F.lit(k))
+                out = F.aggregate(F.get(hits, F.lit(i)), out, lambda r, a: F.aggregate(other, r, lambda q, b: q * miss(a, b)))
+        return out
 
+    return once(once(F.array(*all_hits), missed), lambda m: F.when(m == 1, 1e-20).otherwise(1 - m))
 
-def rank(node) -> Column:
-    """Score of a row for the tree, as a float."""
+
+def score(node, positions: int | None = None) -> Column:
+    """Score of a row for the tree; positions past ``positions`` count as that one, by default all count."""
     terms = list(dict.fromkeys(_operands(node)))
-    hits = [_hits(t) for t in terms]
-    together = isinstance(node, And | Phrase) and len(terms) > 1
-    if together:
-        score = _rank_pairs(hits)
-    else:
-        score = sum((_rank_single(h) for h in hits), F.lit(0.0)) / len(terms)
-    return score.cast("float")
+    hits = [_hits(t, positions) for t in terms]
+    if isinstance(node, And | Phrase) and len(terms) > 1:
+        return _rank_pairs(hits)
+    return sum((_rank_single(h) for h in hits), F.lit(0.0)) / len(terms)
+
+
+def rank(node) -> Column:
+    """``score`` as a float, with the bound on positions of a search index."""
+    return score(node, MAX_POSITIONS).cast("float")
 
 
 # -- parameters ------------------------------------------------------------------------------------

@@ -26,3 +26,24 @@ def answers(spark, path, name, rows):
 def test_search_form_equals_sql(spark, tmp_path, text):
     got, want = answers(spark, tmp_path, "text_search_form", [(1, text, "en", "s")])
     assert got == want
+
+
+SEARCHED = [
+    "the " + "oats " * 16400 + "the rye", "oats " * 16400 + "the python", "the", "python the pythonic", "t\u0301he the python", "c#-the node.js the", "c++ c++-c++-the C++", "the-python THE PYTHÓN Straße the", "thæ the", None, "",
+]
+
+#: Bits of the places that hold "the", the last place lowest.
+NEAR = (11850, 14968)
+
+
+@pytest.mark.parametrize("text", SEARCHED)
+def test_search_of_all_terms_equals_sql(spark, tmp_path, text):
+    got, want = answers(spark, tmp_path, "search_all_terms", [(i, text, "en", "s") for i in range(4)])
+    assert got == want
+
+
+def test_scores_are_rounded_once(spark, tmp_path):
+    # in these the score lies so near the middle of two that a float of it is on the other side
+    rows = [(4 * i, " ".join("the" if m >> d & 1 else "rye" for d in reversed(range(15))), "en", "s") for i, m in enumerate(NEAR)]
+    got, want = answers(spark, tmp_path, "search_all_terms", rows)
+    assert got == want
